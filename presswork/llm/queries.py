@@ -1,0 +1,24 @@
+"""Queries of the corpus operators, as ``name -> f(spark, sf_dir)``."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from presswork.llm.data import both_articles
+from presswork.llm.formatting import formatting_clusters, formatting_copies
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of titles that differ by formatting only."""
+    return formatting_copies(both_articles(spark, sf_dir, "news_title", "news_title", "news_title"))
+
+
+def p1_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per title with its number of copies and of spellings."""
+    return formatting_clusters(both_articles(spark, sf_dir, "news_title", "news_title", "news_title"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {"p1_found": p1_found, "p1_clusters": p1_clusters}
