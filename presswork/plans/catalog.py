@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from presswork.plans import packed_queries
+
+MODULES = (packed_queries,)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    """``name -> f(spark, sf_dir)`` of every module."""
+    return {k: f for m in MODULES for k, f in m.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The SQL of the queries that SQL can express."""
+    return {k: s for m in MODULES if hasattr(m, "oracle_sql") for k, s in m.oracle_sql().items()}

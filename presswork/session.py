@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,7 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
@@ -60,3 +63,20 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder; survives the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="presswork-"), "presswork.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
