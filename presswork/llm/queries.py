@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from presswork.llm.data import both_articles
 from presswork.llm.formatting import formatting_clusters, formatting_copies
+from presswork.llm.names import link_spellings, read_officials, spelled_names
+from presswork.operators.packed import split_packed
+from presswork.plans.packed_queries import known
+from presswork.session import table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,5 +25,31 @@ def p1_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatting_clusters(both_articles(spark, sf_dir, "news_title", "news_title", "news_title"))
 
 
+def _typed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every typed name of both tables: the values of the packed tags, and the queue's single name as a whole."""
+    tags = table(spark, sf_dir, "processed_articles", "article_id", "competitor_tagging").select(
+        F.lit("processed_articles").alias("field_name"), F.col("article_id").alias("row_id"), F.col("competitor_tagging").alias("packed")
+    )
+    queue = table(spark, sf_dir, "raw_scraped_articles", "id", "competitor")
+    return (
+        split_packed(tags, known(spark, sf_dir))
+        .select(F.col("field_name").alias("table_name"), "row_id", F.col("item").alias("spelling"))
+        .unionAll(queue.select(F.lit("raw_scraped_articles"), F.col("id").alias("row_id"), F.col("competitor").alias("spelling")))
+    )
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed competitors that an article names in another spelling than the official one."""
+    officials = read_officials(table(spark, sf_dir, "competitors"))
+    return spelled_names(spark, _typed_names(spark, sf_dir), officials)
+
+
+def p2_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each distinct spelling with its number of uses and the official names it means."""
+    officials = read_officials(table(spark, sf_dir, "competitors"))
+    used = _typed_names(spark, sf_dir).filter(F.trim("spelling") != "").groupBy("spelling").agg(F.count("*").alias("n"))
+    return link_spellings(spark, used, officials).select("spelling", "n", F.array_join("competitors", " | ").alias("competitors"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_clusters": p1_clusters}
+    return {"p1_found": p1_found, "p1_clusters": p1_clusters, "p2_found": p2_found, "p2_spellings": p2_spellings}
