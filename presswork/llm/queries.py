@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presswork.llm.boilerplate import page_furniture
 from presswork.llm.data import both_articles
 from presswork.llm.formatting import formatting_clusters, formatting_copies
+from presswork.llm.history import repeats_of_history
 from presswork.llm.names import link_spellings, read_officials, spelled_names
 from presswork.operators.packed import split_packed
 from presswork.plans.packed_queries import known
@@ -51,5 +53,25 @@ def p2_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_spellings(spark, used, officials).select("spelling", "n", F.array_join("competitors", " | ").alias("competitors"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles that repeat one of an earlier batch, with the first that they repeat."""
+    return repeats_of_history(table(spark, sf_dir, "processed_articles", "article_id", "batch_id", "link", "news_title", "published_date"))
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = table(spark, sf_dir, "processed_articles", "article_id", "news_title", "scraped_content")
+    queue = table(spark, sf_dir, "raw_scraped_articles", "id", "news_title", "content")
+    shaped = [
+        df.select(F.lit(name).alias("table_name"), F.col(key).alias("row_id"), F.col(page).alias("page"), F.col("news_title").alias("title"))
+        for name, df, key, page in (("processed_articles", history, "article_id", "scraped_content"), ("raw_scraped_articles", queue, "id", "content"))
+    ]
+    return shaped[0].unionAll(shaped[1]).filter(F.length("page") > 0)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the pages that are not main content."""
+    return page_furniture(_pages(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_clusters": p1_clusters, "p2_found": p2_found, "p2_spellings": p2_spellings}
+    return {"p1_found": p1_found, "p1_clusters": p1_clusters, "p2_found": p2_found, "p2_spellings": p2_spellings, "p3_found": p3_found, "p4_found": p4_found}
