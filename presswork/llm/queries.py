@@ -12,6 +12,7 @@ from presswork.llm.data import both_articles
 from presswork.llm.formatting import formatting_clusters, formatting_copies
 from presswork.llm.history import repeats_of_history
 from presswork.llm.names import link_spellings, read_officials, spelled_names
+from presswork.llm.near_duplicates import near_duplicate_pairs, near_duplicate_report
 from presswork.operators.packed import split_packed
 from presswork.plans.packed_queries import known
 from presswork.session import table
@@ -73,5 +74,27 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_furniture(_pages(spark, sf_dir))
 
 
+def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of each processed article: its page (kind 0), or lacking it title and summary (kind 1)."""
+    articles = table(spark, sf_dir, "processed_articles", "article_id", "news_title", "summary", "scraped_content")
+    paged = F.length("scraped_content") > 0
+    told = F.concat(F.coalesce("news_title", F.lit("")), F.lit(" "), F.coalesce("summary", F.lit("")))
+    return articles.select(
+        "article_id",
+        F.when(paged, 0).otherwise(1).alias("kind"),
+        F.when(paged, F.col("scraped_content")).otherwise(told).alias("text"),
+    )
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of articles that share 0.70 of their sequences of three words."""
+    return near_duplicate_pairs(_stories(spark, sf_dir), least=0.7, words=3)
+
+
+def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each article with its class of equal texts and its links at five words and likeness 0.8."""
+    return near_duplicate_report(_stories(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_clusters": p1_clusters, "p2_found": p2_found, "p2_spellings": p2_spellings, "p3_found": p3_found, "p4_found": p4_found}
+    return {"p1_found": p1_found, "p1_clusters": p1_clusters, "p2_found": p2_found, "p2_spellings": p2_spellings, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_classes": p6_classes}
