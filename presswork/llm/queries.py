@@ -13,6 +13,9 @@ from presswork.llm.formatting import formatting_clusters, formatting_copies
 from presswork.llm.history import repeats_of_history
 from presswork.llm.names import link_spellings, read_officials, spelled_names
 from presswork.llm.near_duplicates import near_duplicate_pairs, near_duplicate_report
+from presswork.llm.packing import fill_containers
+from presswork.llm.reading import reading_levels
+from presswork.llm.tokens import count_tokens, encode_texts, round_trips
 from presswork.operators.packed import split_packed
 from presswork.plans.packed_queries import known
 from presswork.session import table
@@ -96,5 +99,37 @@ def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_report(_stories(spark, sf_dir))
 
 
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text."""
+    return encode_texts(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def p8_round_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of tokens of every text, and whether decoding gives the text again."""
+    return round_trips(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which text, or piece of it, lies in which container of 2,048 tokens."""
+    return fill_containers(count_tokens(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reading level of every text, with the measures behind it."""
+    return reading_levels(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "reading_labels", "doc_id", "band"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English texts of at least 30 pieces between white space that read as band 4."""
+    documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    pieces = F.size(F.filter(F.split("text", r"(?U)\s+"), lambda w: w != ""))
+    asked = documents.filter((F.col("lang") == "en") & (pieces >= 30)).select("doc_id")
+    return p10_levels(spark, sf_dir).filter(F.col("band") == 4).join(asked, "doc_id", "left_semi").select("doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_clusters": p1_clusters, "p2_found": p2_found, "p2_spellings": p2_spellings, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_classes": p6_classes}
+    found = (
+        (p1_found, p1_clusters, p2_found, p2_spellings, p3_found, p4_found, p6_found, p6_classes)
+        + (p8_ids, p8_round_trips, p9_containers, p10_found, p10_levels)
+    )
+    return {f.__name__: f for f in found}
