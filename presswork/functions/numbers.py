@@ -30,10 +30,11 @@ def extract_numbers(text: Column) -> Column:
         F.regexp_extract_all(text, F.lit(BARE_RUPEES), F.lit(1)),
         lambda m: F.round(F.when(number(m) > FULL_RUPEES, number(m) / CRORE).otherwise(number(m)), 2),
     )
-    scaled = [
-        F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda m, factor=factor: F.round(number(m) * factor, 2))
-        for pattern, factor in SCALED
-    ]
+
+    def in_crore(pattern: str, factor: float) -> Column:
+        return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda m: F.round(number(m) * factor, 2))
+
+    scaled = [in_crore(pattern, factor) for pattern, factor in SCALED]
     none = F.array().cast("array<double>")
     return F.coalesce(F.filter(F.concat(bare, *scaled), lambda n: n.isNotNull()), none)
 

@@ -28,8 +28,7 @@ def core_match(a: Column, b: Column, percent: int = 60) -> Column:
     return F.coalesce((smaller > 0) & (F.size(F.array_intersect(a, b)) * 100 >= smaller * percent), F.lit(False))
 
 
-@F.pandas_udf("double")
-def _ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def _ratios(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     matcher = SequenceMatcher(None)
     for first, second in pairs:
         out, last = [], None
@@ -47,7 +46,7 @@ def _ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
 
 def sequence_ratio(a: Column, b: Column) -> Column:
     """Ratcliff-Obershelp likeness, order of arguments as given; null if either is null."""
-    return _ratio(a, b)
+    return F.pandas_udf(_ratios, "double")(a, b)
 
 
 def ratio_bound(a: Column, b: Column) -> Column:
@@ -56,15 +55,14 @@ def ratio_bound(a: Column, b: Column) -> Column:
 
 
 def letter_counts(text: Column) -> Column:
-    """How often each of 27 classes of characters (a to z, digits and the rest hashed) occurs, for ``letters_bound``."""
-    letters = F.split(text, "")
-    kinds = [*"abcdefghijklmnopqrstuvwxyz", " "]
-    return F.array(*[F.size(F.filter(letters, lambda c, k=k: c == k)) for k in kinds], F.lit(0)).cast("array<int>")
+    """How often each letter a to z, each digit and the space occur, for ``letters_bound``."""
+    kinds = "abcdefghijklmnopqrstuvwxyz0123456789 "
+    return F.array(*[F.length(text) - F.length(F.replace(text, F.lit(k), F.lit(""))) for k in kinds])
 
 
 def letters_bound(a: Column, b: Column, length_a: Column, length_b: Column) -> Column:
     """What the ratio can reach at most, from the counts of ``letter_counts``: shared letters, and all other characters as if shared."""
-    shared = F.aggregate(F.zip_with(a, b, F.least), F.lit(0), lambda t, n: t + n)
+    shared = F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda t, n: t + n)
     counted_a = F.aggregate(a, F.lit(0), lambda t, n: t + n)
     counted_b = F.aggregate(b, F.lit(0), lambda t, n: t + n)
     rest = F.least(length_a - counted_a, length_b - counted_b)

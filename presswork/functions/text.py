@@ -65,7 +65,7 @@ def parse_score(reply: Column) -> Column:
     """First run of digits of a reply, clamped to 0..100; 0 without digits or for null."""
     digits = F.regexp_extract(reply, r"([0-9]+)", 1)
     number = F.when(F.length(digits) > 9, F.lit(100)).otherwise(digits.try_cast("int"))
-    return F.coalesce(F.least(F.lit(100), number), F.lit(0)).cast("int")
+    return F.least(F.lit(100), F.coalesce(number, F.lit(0))).cast("int")
 
 
 def json_object_text(reply: Column) -> Column:
