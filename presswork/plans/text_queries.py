@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.functions.numbers import extract_numbers, values_similar
-from presswork.functions.text import clean_title, coerce_number, font_source, html_to_text, json_object_text, parse_score
+from presswork.functions.text import clean_title, coerce_number, font_source, html_to_text, json_object_text, parse_score, strip
 from presswork.operators.events import FACTS, OTHER_FACTS
 from presswork.operators.rank import RULES, best_tier, category_points, place_points, rank_score, value_points
 from presswork.plans.registry import Registry
@@ -293,13 +293,13 @@ def top_competitors(spark, sf_dir):
 
 @registry.query(
     "cost_estimate",
-    """SELECT *, score_calls * 200 + analysis_calls * 7500 + fact_calls * 500 AS tokens, (score_calls * 200 + analysis_calls * 7500 + fact_calls * 500) / 1000000.0 * 3.0 AS cost FROM
- (SELECT (SELECT count(*) FROM raw_scraped_articles) AS score_calls, count_if(relevance_score >= 70) AS analysis_calls, count(DISTINCT lower(trim(news_title))) AS fact_calls FROM processed_articles)""",
+    f"""SELECT *, score_calls * 200 + analysis_calls * 7500 + fact_calls * 500 AS tokens, (score_calls * 200 + analysis_calls * 7500 + fact_calls * 500) / 1000000.0 * 3.0 AS cost FROM
+ (SELECT (SELECT count(*) FROM raw_scraped_articles) AS score_calls, count_if(relevance_score >= 70) AS analysis_calls, count(DISTINCT lower({STRIP.format("news_title")})) AS fact_calls FROM processed_articles)""",
 )
 def cost_estimate(spark, sf_dir):
     """Calls, tokens and cost of the model steps."""
     done = processed(spark, sf_dir, "relevance_score", "news_title").agg(
-        F.count_if(F.col("relevance_score") >= 70).alias("analysis_calls"), F.count_distinct(F.lower(F.trim("news_title"))).alias("fact_calls")
+        F.count_if(F.col("relevance_score") >= 70).alias("analysis_calls"), F.count_distinct(F.lower(strip(F.col("news_title")))).alias("fact_calls")
     )
     calls = raw(spark, sf_dir).agg(F.count("*").alias("score_calls")).join(done)
     tokens = F.col("score_calls") * 200 + F.col("analysis_calls") * 7500 + F.col("fact_calls") * 500
