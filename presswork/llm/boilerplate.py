@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 SIGMA = 1.0
 #: Share of a headline's words that the story's own title must hold.
 OWN_TITLE = 0.6
+#: Characters per tag below which a line of several tags is furniture by itself.
+LEAST_RATIO = 8
 #: Elements whose text is never content, and elements that end a line's text.
 HIDDEN = frozenset({"script", "style", "nav", "footer", "aside", "iframe", "noscript", "form", "button"})
 
@@ -136,6 +138,8 @@ def _weigh(text: str, tags: int, title: frozenset[str]) -> tuple[int, float]:
         return OPENING, float(len(text)) + 30
     if _BEGINS.match(text) or _HOLDS.search(text) or _is_menu(text):
         return TAG, len(text) / (2.0 + 8.0 * (marks + 2))
+    if tags > 1 and len(text) < LEAST_RATIO * (1 + tags):
+        return TAG, len(text) / (1.0 + marks)
     bullet = _BULLET.match(text) is not None
     ratio = len(text) / (1.0 + marks)
     if (len(words) >= 5 and _SENTENCE_END.search(text)) or (bullet and len(words) >= 5):

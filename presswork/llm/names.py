@@ -236,8 +236,11 @@ def link_spellings(spark: SparkSession, spellings: DataFrame, officials: list[tu
             F.array(*[F.struct(F.levenshtein(typed, F.lit(p)).alias("d"), F.lit(i).alias("cell")) for i, p in enumerate(pivots)])
         )
 
+    # few bytes but much work for each spelling: spread over all tasks, whatever their size
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     typed = (
         spellings.select("spelling", F.col("n").cast("bigint").alias("n"))
+        .repartition(tasks, "spelling")
         .mapInArrow(forms, "spelling string, n bigint, typed string")
         .withColumn("home", nearest(F.col("typed")))
         .select("spelling", "n", "typed", F.col("home.cell").alias("cell"), F.col("home.d").alias("typed_distance"))

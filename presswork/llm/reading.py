@@ -23,13 +23,17 @@ from presswork.session import cut
 
 #: Shares of a text's words for which coverage ranks are taken.
 SHARES = (0.5, 0.75, 0.9)
-MEASURES = ("cover_50", "cover_75", "cover_90", "sentence_words")
+COVERS = ("cover_50", "cover_75", "cover_90")
+SENTENCES = ("sentence_words", "word_letters", "long_words")
+MEASURES = COVERS + SENTENCES
+#: Letters from which a word counts as long.
+LONG = 10
 #: Most words of the head of the vocabulary that is sent to the workers; beyond it ranks are joined.
 HEAD = 200_000
 #: Most that one measure counts against a band, in deviations.
 FARTHEST = 3.0
 #: Least spread of a measure inside a band.
-LEAST_SPREAD = 0.05
+LEAST_SPREAD = 0.02
 #: Most bands of a scale.
 MAX_BANDS = 100
 
@@ -74,7 +78,8 @@ def vocabulary(documents: DataFrame) -> DataFrame:
 
 
 def coverage(documents: DataFrame, ranked: DataFrame, head: int = HEAD) -> DataFrame:
-    """``doc_id``, ``n_words`` and the measures (logarithms of coverage ranks and of words per sentence) of each text with words.
+    """``doc_id``, ``n_words`` and the measures of each text with words: logarithms of the coverage ranks, of words
+    per sentence and of letters per word, and the share of long words.
 
     The words ranked up to ``head`` are sent to the workers; a text whose
     coverage needs rarer words gets its ranks by a join.
@@ -87,7 +92,7 @@ def coverage(documents: DataFrame, ranked: DataFrame, head: int = HEAD) -> DataF
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = known.value
         for batch in batches:
-            out: list[list] = [[] for _ in range(3 + len(SHARES))]
+            out: list[list] = [[] for _ in names]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 words = words_in(text) if text else ()
                 if not words:
@@ -96,23 +101,26 @@ def coverage(documents: DataFrame, ranked: DataFrame, head: int = HEAD) -> DataF
                 sentences = sum(1 for part in _SENTENCE.split(text) if part.strip())
                 out[0].append(doc_id)
                 out[1].append(len(words))
+                letters = np.fromiter(map(len, words), np.int64, len(words))
                 out[2].append(float(np.log(len(words) / max(1, sentences))))
+                out[3].append(float(np.log(letters.mean())))
+                out[4].append(float((letters >= LONG).mean()))
                 for k, share in enumerate(SHARES):
                     rank = int(found[max(0, int(np.ceil(share * len(found))) - 1)])
-                    out[3 + k].append(None if rank == beyond else float(np.log(rank)))
-            kinds = [pa.int64(), pa.int64(), pa.float64()] + [pa.float64()] * len(SHARES)
+                    out[5 + k].append(None if rank == beyond else float(np.log(rank)))
+            kinds = [pa.int64(), pa.int64()] + [pa.float64()] * len(MEASURES)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
-    names = ["doc_id", "n_words", "sentence_words", *MEASURES[: len(SHARES)]]
-    schema = "doc_id bigint, n_words bigint, sentence_words double, " + ", ".join(f"{m} double" for m in MEASURES[: len(SHARES)])
+    names = ["doc_id", "n_words", *SENTENCES, *COVERS]
+    schema = "doc_id bigint, n_words bigint, " + ", ".join(f"{m} double" for m in (*SENTENCES, *COVERS))
     measured = documents.select("doc_id", "text").mapInArrow(measure, schema)
     if not ranked.filter(F.col("last_rank") > head).limit(1).count():
         return measured
     measured = cut(measured)
-    rare = " or ".join(f"{m} is null" for m in MEASURES[: len(SHARES)])
+    rare = " or ".join(f"{m} is null" for m in COVERS)
     exact = exact_coverage(documents.join(measured.filter(rare).select("doc_id"), "doc_id", "left_semi"), ranked)
     both = measured.join(exact, "doc_id", "left")
-    return both.select("doc_id", "n_words", "sentence_words", *[F.coalesce(m, f"exact_{m}").alias(m) for m in MEASURES[: len(SHARES)]])
+    return both.select("doc_id", "n_words", *SENTENCES, *[F.coalesce(m, f"exact_{m}").alias(m) for m in COVERS])
 
 
 def exact_coverage(documents: DataFrame, ranked: DataFrame) -> DataFrame:
@@ -135,7 +143,7 @@ def exact_coverage(documents: DataFrame, ranked: DataFrame) -> DataFrame:
     return reached.groupBy("doc_id").agg(
         *[
             F.log(F.min(F.when(F.col("covered") >= F.greatest(F.ceil(F.col("total") * share), F.lit(1)), F.col("rank")))).alias(f"exact_{m}")
-            for m, share in zip(MEASURES, SHARES)
+            for m, share in zip(COVERS, SHARES)
         ]
     )
 
