@@ -240,7 +240,7 @@ def link_spellings(spark: SparkSession, spellings: DataFrame, officials: list[tu
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     typed = (
         spellings.select("spelling", F.col("n").cast("bigint").alias("n"))
-        .repartition(tasks, "spelling")
+        .repartition(tasks, F.xxhash64("spelling"))
         .mapInArrow(forms, "spelling string, n bigint, typed string")
         .withColumn("home", nearest(F.col("typed")))
         .select("spelling", "n", "typed", F.col("home.cell").alias("cell"), F.col("home.d").alias("typed_distance"))
