@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswork.plans import dedup_queries, packed_queries, tagging_queries, text_queries, unit_queries
+from presswork.plans import dedup_queries, event_queries, packed_queries, tagging_queries, text_queries, unit_queries
 
-MODULES = (tagging_queries, text_queries, dedup_queries, packed_queries, unit_queries)
+MODULES = (tagging_queries, text_queries, dedup_queries, event_queries, packed_queries, unit_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
