@@ -49,6 +49,8 @@ _BLOCK = re.compile(
     r"related (?:stories|articles|news)|readers also|trending|in other news|more from|next read|top (?:news|stories)|popular now|"
     r"editor'?s? picks?|recommended(?: stories| reading)?\W*$|must read|don't miss|partner content)"
 )
+#: How a teaser begins; other teasers may follow it.
+_TEASER = re.compile(r"(?i)(?:video|podcast|opinion|explainer|quiz|watch|in pictures|also read|read more|see also|in case you missed)\b")
 #: Phrases of furniture anywhere in a line.
 _HOLDS = re.compile(
     r"(?i)cookies on your device|process data such as|device ids|enter your e-?mail|morning note|is a member of the .{1,60}circle|grievance desk|"
@@ -69,6 +71,7 @@ _SPLIT_MENU = re.compile(r"\s*(?:[>|·•/›»]|\s{2,}|\t)\s*")
 _MARK = re.compile(r"[>|·»›←→☰★☆©✓]|\S(?: {2,}|\t)\S")
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE_END = re.compile(r"[.!?…][\"'”’)\]]*$")
+_INNER_END = re.compile(r"[^\W\d]\. [^\W\d]")
 _BULLET = re.compile(r"^(?:[•◦▪‣*·–—-]|\d{1,2}[.)])\s+\S")
 
 
@@ -149,7 +152,7 @@ def _weigh(text: str, tags: int, title: frozenset[str]) -> tuple[int, float]:
         if len(own) >= 4 and len(own & title) >= OWN_TITLE * min(len(own), len(title)):
             return OPENING, float(len(text))
     if len(words) >= 6:
-        return (HEADLINE, ratio / 4) if len(words) <= 25 else (TEXT, ratio)
+        return (TEXT, ratio) if len(words) > 25 and _INNER_END.search(text) else (HEADLINE, ratio / 4)
     return UNCLEAR, ratio
 
 
@@ -212,7 +215,7 @@ def furniture_lines(page: str | None, title: str | None = None) -> list[int]:
     out, listed = [], False
     for i, side in enumerate(sides):
         if side == TAG:
-            listed = _BLOCK.match(texts[i]) is not None
+            listed = _BLOCK.match(texts[i]) is not None or listed and _TEASER.match(texts[i]) is not None
         elif side == HEADLINE or side == UNCLEAR and listed and sides[i + 1 : i + 2] == [HEADLINE]:
             # other stories stand under a heading of their own; elsewhere the smoothed ratio has to exclude the line
             head = i < sentence
@@ -222,7 +225,7 @@ def furniture_lines(page: str | None, title: str | None = None) -> list[int]:
             listed = False
             near = any(sides[k] in (TEXT, HEADLINE) for k in range(max(0, i - 1), min(len(sides), i + 3)) if k != i)
             side = TEXT if near or level[i] > middle else TAG
-        elif listed and side == OPENING and i > sentence:
+        elif listed and side == OPENING and not (i < sentence and sides[i + 1 : i + 2] in ([OPENING], [TEXT])):
             side = TAG
         else:
             listed = False
