@@ -263,3 +263,16 @@ def main_text(page: str | None, title: str | None = None) -> str | None:
         return None
     drop = set(furniture_lines(page, title))
     return "\n".join(t.strip() for i, (t, _) in enumerate(line_events(page), 1) if i not in drop and t.strip())
+
+
+def page_main_text(pages: DataFrame) -> DataFrame:
+    """``table_name``, ``row_id``, ``main_text`` of every page; null pages give null, pages of furniture only the empty text."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [main_text(p, t) for p, t in zip(batch.column("page").to_pylist(), batch.column("title").to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("table_name"), batch.column("row_id"), pa.array(texts, pa.string())], names=["table_name", "row_id", "main_text"]
+            )
+
+    return pages.select("table_name", "row_id", "page", "title").mapInArrow(keep, "table_name string, row_id bigint, main_text string")

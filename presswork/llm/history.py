@@ -285,7 +285,9 @@ def repeats_of_history(
     ``articles`` has ``article_id`` (rising with the batch), ``batch_id``,
     ``link``, ``news_title`` and ``published_date``. A repeat has the same page
     behind its link, or a title whose words are at least ``least`` alike and a
-    date at most ``hours`` away. Null batches and ids take no part; null links,
+    date at most ``hours`` away. What a text can repeat is kept as its smallest
+    ids over time (a logarithmic number of rows for ids in any usual order), so
+    a title that fills a third of all rows forms no large group. Null batches and ids take no part; null links,
     titles without words and null dates match nothing.
     """
     micros = hours * 3_600_000_000

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm.boilerplate import page_furniture
+from presswork.llm.boilerplate import page_furniture, page_main_text
 from presswork.llm.data import both_articles
 from presswork.llm.formatting import formatting_clusters, formatting_copies
 from presswork.llm.history import repeats_of_history
@@ -77,6 +77,11 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_furniture(_pages(spark, sf_dir))
 
 
+def p4_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return page_main_text(_pages(spark, sf_dir))
+
+
 def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text of each processed article: its page (kind 0), or lacking it title and summary (kind 1)."""
     articles = table(spark, sf_dir, "processed_articles", "article_id", "news_title", "summary", "scraped_content")
@@ -129,7 +134,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        (p1_found, p1_clusters, p2_found, p2_spellings, p3_found, p4_found, p6_found, p6_classes)
+        (p1_found, p1_clusters, p2_found, p2_spellings, p3_found, p4_found, p4_main, p6_found, p6_classes)
         + (p8_ids, p8_round_trips, p9_containers, p10_found, p10_levels)
     )
     return {f.__name__: f for f in found}

@@ -2,7 +2,7 @@
 
 import pytest
 
-from presswork.llm.boilerplate import furniture_lines, line_events, main_text, page_furniture, smooth, threshold
+from presswork.llm.boilerplate import furniture_lines, line_events, main_text, page_furniture, page_main_text, smooth, threshold
 
 PAGE = """Skip to main content
 Home > Tenders > News
@@ -59,3 +59,5 @@ def test_frame(spark):
     got = page_furniture(df).collect()
     assert {r["row_id"] for r in got} == {1} and len(got) == 9
     assert page_furniture(df.limit(0)).count() == 0
+    kept = {r["row_id"]: r["main_text"] for r in page_main_text(df).collect()}
+    assert kept[2] is None and kept[3] == "" and kept[1].startswith("Acme wins metro") and "Tags" not in kept[1]
