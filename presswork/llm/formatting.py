@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork.operators.skew import HOT_ROWS, join_unique
+from presswork.session import cut
 
 #: Set off the segments of a title: a spaced dash, a bar, a colon that is not inside a number.
 SEGMENT_BREAK = (
@@ -46,7 +47,7 @@ def title_groups(rows: DataFrame, by: str = "table_name", row_id: str = "row_id"
 
     Null and blank titles are dropped. An empty table gives no rows.
     """
-    distinct = (
+    distinct = cut(
         rows.select(by, row_id, title)
         .filter(F.col(title).isNotNull() & F.col(row_id).isNotNull())
         .groupBy(by, title)
@@ -69,7 +70,7 @@ def formatting_copies(
     comes out once for each time it stands in the table, unless it is the kept
     one. Other columns of ``rows`` are ignored.
     """
-    repeated = title_groups(rows, by, row_id, title).filter(F.col("n_group") > 1).select(by, title, "n", "keep_id")
+    repeated = cut(title_groups(rows, by, row_id, title).filter(F.col("n_group") > 1).select(by, title, "n", "keep_id"))
     members = rows.select(by, row_id, title).filter(F.col(title).isNotNull())
     found = join_unique(members, repeated, [by, title], "n", F.col(row_id), hot_rows)
     return found.filter(F.col(row_id) != F.col("keep_id")).select(by, "keep_id", F.col(row_id).alias("copy_id"))
