@@ -82,7 +82,7 @@ def html_texts(spark, sf_dir):
 
 @registry.query("truncate_content", "SELECT article_id, left(scraped_content, 500) AS stored, left(scraped_content, 2000) AS shown FROM processed_articles")
 def truncate_content(spark, sf_dir):
-    """The stored and the shown part of a page's text, as the reference defines them."""
+    """The stored and the shown part of a page's text, at their specified lengths."""
     return processed(spark, sf_dir, "scraped_content").select(
         "article_id", F.substring("scraped_content", 1, 500).alias("stored"), F.substring("scraped_content", 1, 2000).alias("shown")
     )
