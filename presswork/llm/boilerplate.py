@@ -30,7 +30,7 @@ HIDDEN = frozenset({"script", "style", "nav", "footer", "aside", "iframe", "nosc
 
 #: Phrases of notices, buttons, teasers and footers, as they begin a line.
 _BEGINS = re.compile(
-    r"(?i)(?:skip to|back to top|sign (?:in|up)\b|log ?in\b|register\b|subscribe\b|menu\b|search\b|close\b|☰|"
+    r"(?:skip to|back to top|sign (?:in|up)\b|log ?in\b|register\b|subscribe\b|menu\b|search\b|close\b|☰|"
     r"we use cookies|this (?:web)?site (?:uses|keeps|stores|sets)|by using this|your privacy|cookie settings|accept all|"
     r"(?:essential only|allow all|allow selection)\b|to keep .{1,60} free we rely|you have \d+ free|"
     r"share this|share:|follow us|join (?:our|us)|get (?:the|our) newsletter|get alerts|newsletter|download (?:our|the) app|"
@@ -52,11 +52,12 @@ _BLOCK = re.compile(
 #: How a teaser begins; other teasers may follow it.
 _TEASER = re.compile(r"(?i)(?:video|podcast|opinion|explainer|quiz|watch|in pictures|also read|read more|see also|in case you missed)\b")
 #: Phrases of furniture anywhere in a line.
-_HOLDS = re.compile(
-    r"(?i)cookies on your device|process data such as|device ids|enter your e-?mail|morning note|is a member of the .{1,60}circle|grievance desk|"
-    r"no part of this page may be|log in to post|min read\b|all rights reserved\.|storing of small files|free stories left|switch off your ad|"
-    r"not investment advice|★|\+ follow\b|✓ following|people are reading|copy link|· careers ·|\bsitemap\b|we rely on advertising"
-)
+_HOLDS = (
+    "cookies on your device", "process data such as", "device ids", "enter your e-mail", "enter your email", "morning note", "grievance desk",
+    "no part of this page may be", "log in to post", "min read", "all rights reserved.", "storing of small files", "free stories left",
+    "switch off your ad", "not investment advice", "★", "+ follow", "✓ following", "people are reading", "copy link", "· careers ·", "sitemap",
+    "we rely on advertising",
+)
 #: Sections of a site, as they stand alone in a menu.
 _SECTIONS = frozenset(
     "rail events companies metro policy videos renewables login markets data opinion archive podcasts states jobs world home power tenders "
@@ -122,12 +123,17 @@ def line_events(page: str) -> list[tuple[str, int]]:
     return [(" ".join(parser.text.get(i, ())), parser.tags.get(i, 0)) for i in range(1, len(lines) + 1)]
 
 
-def _is_menu(text: str) -> bool:
+def _is_menu(text: str, low: str) -> bool:
     """Whether a line lists short items, or names one section of the site."""
-    if text.lower() in _SECTIONS:
+    if low in _SECTIONS:
         return True
     items = [i for i in _SPLIT_MENU.split(text) if i]
-    return len(items) >= 3 and max(len(i.split()) for i in items) <= 4 and not _SENTENCE_END.search(text)
+    return len(items) >= 3 and max(len(i.split()) for i in items) <= 4
+
+
+def _is_furniture(text: str, low: str, sentence: bool) -> bool:
+    """Whether the words of a line give it away, or its being a menu."""
+    return _BEGINS.match(low) is not None or any(p in low for p in _HOLDS) or not sentence and _is_menu(text, low)
 
 
 TAG, UNCLEAR, HEADLINE, TEXT, OPENING = range(5)
@@ -135,20 +141,20 @@ TAG, UNCLEAR, HEADLINE, TEXT, OPENING = range(5)
 
 def _weigh(text: str, tags: int, title: frozenset[str]) -> tuple[int, float]:
     """Side of a line by its own evidence, and its text-to-tag ratio."""
-    words = text.split()
+    words, low = text.split(), text.lower()
     marks = tags + len(_MARK.findall(text))
+    sentence = _SENTENCE_END.search(text) is not None
     if _BYLINE.match(text):
         return OPENING, float(len(text)) + 30
-    if _BEGINS.match(text) or _HOLDS.search(text) or _is_menu(text):
+    if _is_furniture(text, low, sentence):
         return TAG, len(text) / (2.0 + 8.0 * (marks + 2))
     if tags > 1 and len(text) < LEAST_RATIO * (1 + tags):
         return TAG, len(text) / (1.0 + marks)
-    bullet = _BULLET.match(text) is not None
     ratio = len(text) / (1.0 + marks)
-    if (len(words) >= 5 and _SENTENCE_END.search(text)) or (bullet and len(words) >= 5):
+    if len(words) >= 5 and (sentence or _BULLET.match(text) is not None):
         return TEXT, max(ratio, 60.0)
     if title:
-        own = {w.lower() for w in _WORD.findall(text)}
+        own = set(_WORD.findall(low))
         if len(own) >= 4 and len(own & title) >= OWN_TITLE * min(len(own), len(title)):
             return OPENING, float(len(text))
     if len(words) >= 6:
