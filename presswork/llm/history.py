@@ -6,7 +6,8 @@ suffix array is built over the concatenated texts of the batch, with suffixes
 cut at the guaranteed match length. The arrays of earlier batches are merged
 logarithmically (equal levels only), so a batch looks its substrings up in
 O(log batches) arrays by binary search. Long matches name the records that can
-be alike, and the whole texts of these are compared exactly.
+be alike, and their whole sets of hashed words are compared. Links found so
+are the same page only if their canonical texts are equal.
 
 Guaranteed match length: two sorted word sequences with ``s`` shared words and
 ``d`` others agree, somewhere, in a run of ``ceil(s / (d + 1))`` shared words.
@@ -64,6 +65,12 @@ def distinct_words(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
 
 
+def link_tokens(page: Column) -> Column:
+    """The text of a canonical link in the index: three independent hashes, the first 96 bits of its SHA-256."""
+    digest = F.sha2(page, 256)
+    return F.array(*[(F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("bigint") - 2**31).cast("int") for i in range(3)])
+
+
 def match_length(n: int, least: float = LIKENESS) -> int:
     """The run of shared words that a text of ``n`` words surely has with every text at least so alike."""
     found = n
@@ -305,6 +312,7 @@ def repeats_of_history(
         "ts",
         F.floor(F.col("ts") / micros).cast("int").alias("bucket"),
         F.array_sort(F.array_distinct(F.transform("words", lambda w: F.hash(w)))).alias("tokens"),
+        F.lit("").alias("page"),
         F.array_join(F.array_sort("words"), " ").alias("key"),
     )
     linked = base.filter(F.col("page").isNotNull()).select(
@@ -312,12 +320,13 @@ def repeats_of_history(
         "batch",
         F.lit(None).cast("bigint").alias("ts"),
         F.lit(-(2**30)).alias("bucket"),
-        F.array(*[F.hash("page", F.lit(seed)) for seed in (1, 2, 3)]).alias("tokens"),
+        link_tokens(F.col("page")).alias("tokens"),
+        "page",
         F.col("page").alias("key"),
     )
     rows = cut(titled.unionAll(linked).withColumn("text_id", F.xxhash64("key", "bucket", F.lit(7))).drop("key"))
     texts = cut(
-        rows.groupBy("text_id").agg(
+        rows.groupBy("text_id", "page").agg(
             F.first("bucket").alias("bucket"),
             F.min("batch").alias("first_batch"),
             F.max("batch").alias("last_batch"),
@@ -326,20 +335,22 @@ def repeats_of_history(
         )
     )
     pairs = long_matches(texts, least, shards)
-    slim = rows.select("text_id", "article_id", "batch", "ts")
-    steps = _staircase(_staircase(slim.withColumn("salt", F.pmod(F.xxhash64("article_id"), F.lit(16))), "text_id", "salt").drop("salt"), "text_id")
+    slim = rows.select("text_id", "page", "article_id", "batch", "ts")
+    salted = slim.withColumn("salt", F.pmod(F.xxhash64("article_id"), F.lit(16)))
+    steps = _staircase(_staircase(salted, "text_id", "page", "salt").drop("salt"), "text_id", "page")
+    # the page goes along: what stands for a link may be shared by other pages, whose rows stay apart here
     before = (
         pairs.join(steps, "text_id")
-        .groupBy(F.col("query_id").alias("text_id"))
+        .groupBy(F.col("query_id").alias("text_id"), "page")
         .agg(F.collect_list(F.struct("article_id", "batch", "ts")).alias("before"))
-        .join(texts.select("text_id", "n"), "text_id")
+        .join(texts.select("text_id", "page", "n"), ["text_id", "page"])
     )
     near = F.filter(
         "before",
         lambda p: (p["batch"] < F.col("batch")) & (F.col("ts").isNull() | (F.abs(p["ts"] - F.col("ts")) <= micros)),
     )
     return (
-        join_unique(slim, before, ["text_id"], "n", F.col("article_id"), hot_rows)
+        join_unique(slim, before, ["text_id", "page"], "n", F.col("article_id"), hot_rows)
         .select("article_id", F.array_min(F.transform(near, lambda p: p["article_id"])).alias("first_id"))
         .filter(F.col("first_id").isNotNull())
         .groupBy("article_id")

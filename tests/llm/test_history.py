@@ -115,3 +115,22 @@ def test_empty_and_long(spark):
     long = " ".join(f"word{i}" for i in range(5000))
     rows = [(1, 1, None, long, DAY, 0, ""), (2, 2, None, long + " more", DAY, 0, ""), (3, None, None, long, DAY, 0, "")]
     assert [tuple(r) for r in repeats_of_history(spark.createDataFrame(rows, SCHEMA)).collect()] == [(1, 2)]
+
+
+#: Different pages of one value of Spark's hash.
+SAME_HASH = ("a.example/story-102100", "a.example/story-562426")
+
+
+def test_pages_of_one_hash_are_no_repeats(spark):
+    pages = spark.createDataFrame([(p,) for p in SAME_HASH], "page string")
+    assert len({r[0] for r in pages.select(F.hash("page")).collect()}) == 1
+    one, other = (f"https://{p}" for p in SAME_HASH)
+    rows = [(1, 1, one, None, DAY, 0, ""), (2, 2, other, None, DAY, 0, ""), (3, 3, other + "/", None, DAY, 0, "")]
+    assert [tuple(r) for r in repeats_of_history(spark.createDataFrame(rows, SCHEMA)).collect()] == [(2, 3)]
+
+
+def test_the_text_of_a_link_decides(spark, monkeypatch):
+    monkeypatch.setattr("presswork.llm.history.link_tokens", lambda page: F.array(*map(F.lit, (1, 2, 3))))
+    rows = [(i, i, f"https://a.example/{i % 4}", None, DAY, 0, "") for i in range(1, 12)]
+    got = repeats_of_history(spark.createDataFrame(rows, SCHEMA), hot_rows=2)
+    assert sorted(map(tuple, got.collect())) == sorted((i - 4 if i < 9 else i - 8, i) for i in range(5, 12))
