@@ -158,7 +158,8 @@ def seq_ratio_pairs(spark, sf_dir):
 @registry.query("event_pairs")
 def event_pairs(spark, sf_dir):
     """Survivors of the comparison of events among all accepted articles."""
-    return event_dedup(pipeline.with_facts(done(spark, sf_dir, "news_title", "competitor_tagging", "category_tag", "rank_score")))
+    rows = done(spark, sf_dir, "news_title", "competitor_tagging", "category_tag", "rank_score", "scraped_content")
+    return event_dedup(pipeline.with_facts(rows.withColumnRenamed("scraped_content", "content")))
 
 
 @registry.query("dedup_phase2")

@@ -78,10 +78,10 @@ def company_match(spark, sf_dir):
 
 def _matches(category: str | None):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = done(spark, sf_dir, "news_title", "competitor_tagging", "category_tag", "rank_score")
+        rows = done(spark, sf_dir, "news_title", "competitor_tagging", "category_tag", "rank_score", "scraped_content")
         lowered = F.lower(F.coalesce("category_tag", F.lit("")))
         own = rows.filter(lowered == category if category else ~lowered.isin(*RULES))
-        known = pipeline.with_facts(own)
+        known = pipeline.with_facts(own.withColumnRenamed("scraped_content", "content"))
         pairs = tagged_pairs(known, real_tags(F.col("competitor_tagging")), F.col("category_tag"), "pos", "published_date")
         facts = known.select("pos", "facts", F.col("category_tag").alias("category"))
         left = facts.select(F.col("pos").alias("pos_i"), F.col("facts").alias("facts_i"), "category")

@@ -2,28 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.functions.text import coerce_number, first_given, json_object_text, parse_score, real_tags
+from presswork.functions.text import coerce_number, first_given, html_to_text, json_object_text, parse_score, real_tags
 from presswork.operators.dedup import event_dedup, title_dedup
 from presswork.operators.dictionary import alias_table, normalize_tags, resolve_names
 from presswork.operators.ordering import with_position
 from presswork.operators.rank import rank_score
 from presswork.plans.services import OfflineModel, call
 from presswork.session import cut
+from presswork.sources.feeds import fetch_pages
 from presswork.sources.sinks import stored_columns
 
 #: Least score of an item that is analysed and stored.
 RELEVANT = 70
+#: Characters of a page that are read, shown to a model and stored.
+PAGE, SHOWN, STORED = 3000, 2000, 500
 REQUIRED = ("competitor_tagging", "sbu_tagging", "category_tag", "summary", "contract_value_inr_crore", "geography")
 
 
 @dataclass
 class Steps:
-    """Tables after each step, for reports and tests."""
+    """Tables after each step, for reports and tests. The text of the pages is in ``stored`` only."""
 
     scored: DataFrame
     analysed: DataFrame
@@ -44,24 +48,41 @@ def analysed_fields(reply):
     )
 
 
-def run(spark: SparkSession, queue: DataFrame, competitors: DataFrame, model: OfflineModel | None = None) -> Steps:
-    """Score, analyse, rank and de-duplicate the queue (``raw_scraped_articles``). An empty queue gives empty tables."""
+def with_pages(rows: DataFrame, queue: DataFrame, fetch: Callable[[str], str] | None = None) -> DataFrame:
+    """``rows`` with ``content``, the text of each one's page: fetched by its link, else the queue's; empty where there is none."""
+    if fetch is None:
+        paged = rows.join(queue.select("id", F.col("content").alias("html")), "id", "left")
+    else:
+        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        paged = rows.join(fetch_pages(rows, fetch, partitions), "link", "left")
+    return paged.withColumn("content", html_to_text(F.col("html"), PAGE)).drop("html")
+
+
+def run(
+    spark: SparkSession, queue: DataFrame, competitors: DataFrame, model: OfflineModel | None = None, fetch: Callable[[str], str] | None = None
+) -> Steps:
+    """Score, analyse, rank and de-duplicate the queue (``raw_scraped_articles``). An empty queue gives empty tables.
+
+    ``fetch`` gives the page behind a link; without it the queue's ``content`` is the page. Pages are read for the
+    items that are analysed and again for those that are left after titles.
+    """
     model = model or OfflineModel()
     ordered = with_position(queue.drop("content"), F.desc_nulls_first("published_date"), F.asc("id"))
     replied = call(ordered, model.score, ["news_title", "competitor"])
     scored = cut(replied.withColumn("relevance_score", parse_score(F.col("reply"))).drop("reply"))
     high = scored.filter(F.col("relevance_score") >= RELEVANT)
-    asked = call(high.withColumn("content", F.col("news_title")), model.analyse, ["news_title", "content", "relevance_score"])
+    paged = with_pages(high, queue, fetch).withColumn("shown", F.when(F.col("content") != "", F.substring("content", 1, SHOWN)).otherwise(F.col("news_title")))
+    asked = call(paged, model.analyse, ["news_title", "shown", "relevance_score"])
     fields = asked.withColumn("f", analysed_fields(F.col("reply"))).select(
         "pos", "id", "news_title", "link", "source", "published_date", "relevance_score",
         first_given(F.col("f.competitor_tagging"), F.col("competitor"), F.lit("-")).alias("tags"),
-        "f.sbu_tagging", "f.category_tag", "f.summary", "f.geography", F.lit("").alias("scraped_content"),
+        "f.sbu_tagging", "f.category_tag", "f.summary", "f.geography", F.substring("content", 1, STORED).alias("scraped_content"),
         coerce_number(F.col("f.contract_value_inr_crore")).alias("contract_value_inr_crore"),
     )
     fields = cut(fields)
     aliases = alias_table(competitors)
     named = normalize_tags(fields, "id", "tags", lambda names: resolve_names(names, aliases))
-    tagged = fields.join(named.withColumnRenamed("normalized", "competitor_tagging"), "id").drop("tags")
+    tagged = fields.drop("scraped_content").join(named.withColumnRenamed("normalized", "competitor_tagging"), "id").drop("tags")
     scores = rank_score(tagged, "id", competitors).select("id", "competitor_tier", "rank_score")
     analysed = cut(tagged.join(scores, "id"))
     # titles
@@ -69,14 +90,15 @@ def run(spark: SparkSession, queue: DataFrame, competitors: DataFrame, model: Of
     kept = title_dedup(dense.withColumn("names", F.col("competitor_tagging")))
     after_titles = cut(dense.join(kept, "pos", "left_semi"))
     # events
-    known = with_facts(after_titles, model)
+    again = with_pages(after_titles, queue, fetch).join(fields.select("id", "scraped_content"), "id")
+    known = with_facts(again.withColumn("content", F.when(F.col("link").isNotNull(), F.col("content")).otherwise(F.col("scraped_content"))), model)
     final = known.join(event_dedup(known), "pos", "left_semi")
     return Steps(scored, analysed, after_titles, stored_columns(final))
 
 
 def with_facts(rows: DataFrame, model: OfflineModel | None = None) -> DataFrame:
-    """``rows`` with the ``facts``, ``tags`` and ``score`` that the comparison of events reads."""
+    """``rows`` with the ``facts``, ``tags`` and ``score`` that the comparison of events reads; ``content`` is the text of the page."""
     model = model or OfflineModel()
-    replied = call(rows.withColumn("content", F.lit("")), model.facts, ["news_title", "content", "category_tag"])
+    replied = call(rows.withColumn("content", F.substring("content", 1, SHOWN)), model.facts, ["news_title", "content", "category_tag"])
     known = replied.withColumn("facts", F.from_json(json_object_text(F.col("reply")), "map<string,string>")).drop("reply", "content")
     return cut(known.withColumns({"tags": real_tags(F.col("competitor_tagging")), "score": F.col("rank_score")}))

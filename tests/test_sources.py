@@ -1,6 +1,7 @@
 """Feeds, sinks and the pipeline."""
 
 import datetime
+import json
 
 from pyspark.sql import functions as F
 
@@ -64,6 +65,54 @@ def test_pipeline_runs_and_is_deterministic(spark, tiny):
     assert pipeline.run(spark, queue.limit(0), firms).stored.count() == 0
 
 
+class Reader(pipeline.OfflineModel):
+    """Says in its replies what it was given to read."""
+
+    def analyse(self, title, content, score):
+        return super().analyse(title, f"read {content[-9:]} {len(content)}", score)
+
+    def facts(self, title, content, category):
+        return json.dumps({"company": title, "location": f"{content[-9:]} {len(content)}"})
+
+
+PAGED = [
+    (1, "http://a/1", "<nav>menu</nav><p>A  page</p>" + "x" * 4000),
+    (2, "http://a/2", "short &amp; plain"),
+    (3, "http://a/3", None),
+    (4, None, "y" * 4000),
+]
+
+
+def paged_queue(spark):
+    rows = [(i, "k", f"Acme{i} wins wind order {'abcd'[i - 1] * 9}", "s", link, datetime.datetime(2025, 1, 7 * i), "u", f"Firm{i}", c) for i, link, c in PAGED]
+    schema = "id bigint, search_keyword string, news_title string, source string, link string, published_date timestamp, sbu string, competitor string, content string"
+    return spark.createDataFrame(rows, schema)
+
+
+def test_pipeline_reads_pages(spark, tiny, monkeypatch):
+    read = []
+    monkeypatch.setattr(pipeline, "event_dedup", lambda known: read.extend(known.select("news_title", "facts").collect()) or known.select("pos"))
+    stored = pipeline.run(spark, paged_queue(spark), table(spark, tiny, "competitors"), Reader()).stored.collect()
+    by = {r["news_title"][:5]: (r["scraped_content"], r["summary"]) for r in stored}
+    assert by["Acme1"] == ("A page " + "x" * 493, "read xxxxxxxxx 2000")
+    assert by["Acme2"] == ("short & plain", "read t & plain 13")
+    assert by["Acme3"] == ("", "read ccccccccc 31")  # the title where there is no page
+    assert by["Acme4"][0] == "y" * 500
+    # the whole page again; what is stored where there is no link
+    assert {r["news_title"][:5]: r["facts"]["location"] for r in read} == {"Acme1": "xxxxxxxxx 2000", "Acme2": "t & plain 13", "Acme3": " 0", "Acme4": "yyyyyyyyy 500"}
+
+
+def test_pipeline_fetches_pages(spark, tiny):
+    def fetch(link):
+        if link.endswith("2"):
+            raise OSError
+        return f"<p>behind {link}</p>"
+
+    stored = pipeline.run(spark, paged_queue(spark), table(spark, tiny, "competitors"), fetch=fetch).stored.collect()
+    got = {r["news_title"][:5]: r["scraped_content"] for r in stored}
+    assert got == {"Acme1": "behind http://a/1", "Acme2": "", "Acme3": "behind http://a/3", "Acme4": ""}
+
+
 def test_analysis_errors_become_a_record(spark):
     replies = spark.createDataFrame([(1, "no json"), (2, '{"category_tag": "x"}'), (3, None)], "id int, reply string")
     assert {r["category_tag"] for r in replies.select(pipeline.analysed_fields(F.col("reply")).alias("f")).select("f.*").collect()} == {"error"}
