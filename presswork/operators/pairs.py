@@ -30,13 +30,15 @@ def window_pairs(rows: DataFrame, pos: str = "pos", window: int = WINDOW, column
     return left.join(right, "block").filter((F.col("pos_j") > F.col("pos_i")) & (F.col("pos_j") <= F.col("pos_i") + window)).drop("block")
 
 
-def tagged_pairs(rows: DataFrame, tags: Column, category: Column, pos: str, date: str, days: int = 3) -> DataFrame:
+def tagged_pairs(rows: DataFrame, tags: Column, category: Column, pos: str, date: str, days: int = 3, only: Column | None = None) -> DataFrame:
     """``pos_i``, ``pos_j``, ``group_rank`` of rows with a shared tag and category, at most ``days`` apart.
 
     ``group_rank`` is the smallest first position among the shared groups; a
     pair comes out once. Rows without tags share the group ``General``. Null
     dates pass. Days are blocked with the group, so that one large group is
-    spread over its days; null dates meet all days of their group.
+    spread over its days; null dates meet all days of their group. ``only``
+    (over the lower-cased ``category``) limits the pairs, not the groups: first
+    positions are taken from all rows.
     """
     base = rows.select(
         F.col(pos).alias("pos"),
@@ -45,6 +47,7 @@ def tagged_pairs(rows: DataFrame, tags: Column, category: Column, pos: str, date
         F.explode(F.when(F.size(tags) > 0, F.array_distinct(tags)).otherwise(F.array(F.lit("General")))).alias("tag"),
     )
     first = base.groupBy("tag").agg(F.min("pos").alias("group_rank"))
+    base = base if only is None else base.filter(only)
     width = DAY * (days + 1)
     dated = base.filter("ts is not null").withColumn("block", F.floor(F.col("ts") / width))
     undated = base.filter("ts is null")

@@ -79,10 +79,11 @@ def company_match(spark, sf_dir):
 def _matches(category: str | None):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = done(spark, sf_dir, "news_title", "competitor_tagging", "category_tag", "rank_score", "scraped_content")
-        lowered = F.lower(F.coalesce("category_tag", F.lit("")))
-        own = rows.filter(lowered == category if category else ~lowered.isin(*RULES))
+        wanted = lambda c: c == category if category else ~c.isin(*RULES)
+        own = rows.filter(wanted(F.lower(F.coalesce("category_tag", F.lit("")))))
         known = pipeline.with_facts(own.withColumnRenamed("scraped_content", "content"))
-        pairs = tagged_pairs(known, real_tags(F.col("competitor_tagging")), F.col("category_tag"), "pos", "published_date")
+        tags = real_tags(F.col("competitor_tagging"))
+        pairs = tagged_pairs(rows, tags, F.col("category_tag"), "pos", "published_date", only=wanted(F.col("category")))
         facts = known.select("pos", "facts", F.col("category_tag").alias("category"))
         left = facts.select(F.col("pos").alias("pos_i"), F.col("facts").alias("facts_i"), "category")
         right = facts.select(F.col("pos").alias("pos_j"), F.col("facts").alias("facts_j"))

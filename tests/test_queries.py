@@ -1,11 +1,14 @@
 """Every registered query on the smallest data against its SQL, where it has one."""
 
+import datetime
 import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
+from presswork.operators.pairs import tagged_pairs
 from presswork.plans import catalog
 
 SQL = catalog.oracle_sql()
@@ -45,6 +48,23 @@ def test_query_without_sql_runs(spark, tiny, name):
     assert entry_module.queries()[name](spark, tiny).count() >= 0
 
 
+def test_matches_have_the_group_rank_of_all_articles(spark, tmp_path):
+    days = [datetime.datetime(2025, 1, 1, 9 - i) for i in range(4)]
+    rows = [(i, d, "Acme wins order", "Acme", c, 0, "") for i, (d, c) in enumerate(zip(days, ("Legal", "Order Wins", "Order Wins", "Legal")), 1)]
+    schema = "article_id bigint, published_date timestamp, news_title string, competitor_tagging string, category_tag string, rank_score int, scraped_content string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/processed_articles.parquet")
+    queries = entry_module.queries()
+    matches = {k: [tuple(r) for r in queries[f"fingerprint_match_{k}"](spark, str(tmp_path)).collect()] for k in ("order_wins", "other")}
+    assert matches == {"order_wins": [(2, 3, 1)], "other": [(1, 4, 1)]}
+
+
+def test_only_limits_pairs_not_groups(spark):
+    rows = spark.createDataFrame([(1, "A", "Legal"), (2, "A", "Order Wins"), (3, "A", "Order Wins"), (4, "A", "Legal")], "pos bigint, tag string, cat string")
+    dated = rows.withColumn("day", F.lit("2025-01-01").cast("timestamp"))
+    pairs = tagged_pairs(dated, F.array("tag"), F.col("cat"), "pos", "day", only=F.col("category") == "order wins")
+    assert [tuple(r) for r in pairs.collect()] == [(2, 3, 1)]
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
 
