@@ -21,9 +21,13 @@ def queue_stream(spark: SparkSession, path: str, files_per_trigger: int = 64) ->
 
 
 def first_links(items: DataFrame, late: str = "3 days") -> DataFrame:
-    """The first item of each link; the links seen are kept for ``late`` of event time. Items without a date take the current time."""
-    dated = items.withColumn("published_date", F.coalesce("published_date", F.current_timestamp()))
-    return dated.withWatermark("published_date", late).dropDuplicatesWithinWatermark(["link"])
+    """The first item of each link; the links seen are kept for ``late`` after their arrival. Items without a date take the current time.
+
+    The watermark is on the time of arrival, so no item is dropped for its date. A link that comes again later than
+    ``late`` passes; ``insert_ignore`` settles it.
+    """
+    dated = items.withColumns({"published_date": F.coalesce("published_date", F.current_timestamp()), "_arrived": F.current_timestamp()})
+    return dated.withWatermark("_arrived", late).dropDuplicatesWithinWatermark(["link"]).drop("_arrived")
 
 
 def counts_by_day(items: DataFrame, late: str = "3 days") -> DataFrame:

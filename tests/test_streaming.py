@@ -29,3 +29,14 @@ def test_first_links_and_counts(spark, tmp_path):
         query.awaitTermination()
     assert sorted(r["link"] for r in spark.table("links").collect()) == ["x", "y"]
     assert {r["day"]: r["items"] for r in spark.table("days").collect()} == {DAY: 2, DAY + datetime.timedelta(days=1): 1}
+
+
+def test_first_links_keep_late_items_after_an_undated_one(spark, tmp_path):
+    source = str(tmp_path / "source")
+    files = ([(1, "a", "x", None), (2, "b", "y", DAY)], [(3, "c", "z", DAY)], [(4, "d", "w", DAY), (5, "e", "y", DAY)], [(6, "f", "v", DAY - datetime.timedelta(days=90))])
+    for rows in files:
+        write(spark, source, rows)
+    links = queue.first_links(queue.queue_stream(spark, source, files_per_trigger=1))
+    links.writeStream.format("memory").queryName("late").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r["id"] for r in spark.table("late").collect()) == [1, 2, 3, 4, 6]
+    assert links.columns == queue.queue_stream(spark, source).columns
