@@ -5,8 +5,8 @@ give, for each line, its text and its tags; glyphs and phrases that stand for
 links and buttons in text-only pages count as tags too. The text-to-tag ratios
 of the lines are smoothed with a Gaussian and split at the threshold between
 the two clusters of the page. A line with clear text or clear tags keeps its
-own ratio's side; the smoothed ratio decides the rest (sub-heads and lines
-without a sentence).
+own ratio's side; the smoothed ratio decides the rest (sub-heads, lines
+without a sentence and sentences that begin like a button).
 """
 
 from __future__ import annotations
@@ -43,6 +43,10 @@ _BEGINS = re.compile(
     r"text size|\(?photo gallery|video ?:|podcast ?:|opinion ?:|explainer ?:|quiz ?:|watch ?:|in pictures|live updates|updated ?:|published ?:|last updated|comments? ?\(|leave a comment|"
     r"\d[\d,.]* (?:shares?|comments?|views?|people are reading)\b)"
 )
+#: Beginnings that a paragraph has as easily as a button; in a sentence they only weigh.
+_COMMON = re.compile(r"(?:register|search|close|newer)\b")
+#: Words from which a sentence that begins so is left to the smoothed ratio.
+LEAST_WORDS = 8
 #: Headings over lists of other stories.
 _BLOCK = re.compile(
     r"(?i)(?:most (?:read|viewed|popular|shared)|latest (?:tenders|news|stories|updates)|you may also|from our partners|"
@@ -136,7 +140,7 @@ def _is_furniture(text: str, low: str, sentence: bool) -> bool:
     return _BEGINS.match(low) is not None or any(p in low for p in _HOLDS) or not sentence and _is_menu(text, low)
 
 
-TAG, UNCLEAR, HEADLINE, TEXT, OPENING = range(5)
+TAG, UNCLEAR, HEADLINE, TEXT, OPENING, WEIGHED = range(6)
 
 
 def _weigh(text: str, tags: int, title: frozenset[str]) -> tuple[int, float]:
@@ -146,6 +150,8 @@ def _weigh(text: str, tags: int, title: frozenset[str]) -> tuple[int, float]:
     sentence = _SENTENCE_END.search(text) is not None
     if _BYLINE.match(text):
         return OPENING, float(len(text)) + 30
+    if sentence and len(words) >= LEAST_WORDS and _COMMON.match(low) and not any(p in low for p in _HOLDS):
+        return WEIGHED, len(text) / (2.0 + marks)
     if _is_furniture(text, low, sentence):
         return TAG, len(text) / (2.0 + 8.0 * (marks + 2))
     if tags > 1 and len(text) < LEAST_RATIO * (1 + tags):
@@ -227,6 +233,8 @@ def furniture_lines(page: str | None, title: str | None = None) -> list[int]:
             head = i < sentence
             beside = i > 0 and sides[i - 1] not in (TAG, HEADLINE)
             side = TAG if listed or not (head or beside or level[i] > middle) else TEXT
+        elif side == WEIGHED:
+            side = TEXT if level[i] > middle and not listed else TAG
         elif side == UNCLEAR:
             listed = False
             near = any(sides[k] in (TEXT, HEADLINE) for k in range(max(0, i - 1), min(len(sides), i + 3)) if k != i)

@@ -61,3 +61,12 @@ def test_frame(spark):
     assert page_furniture(df.limit(0)).count() == 0
     kept = {r["row_id"]: r["main_text"] for r in page_main_text(df).collect()}
     assert kept[2] is None and kept[3] == "" and kept[1].startswith("Acme wins metro") and "Tags" not in kept[1]
+
+
+@pytest.mark.parametrize("word", ["Search", "Close", "Register", "Newer"])
+def test_a_paragraph_may_begin_like_a_button(word):
+    own = f"{word} entries of the land office at Goa show that the body owns the whole of the site."
+    lines = PAGE.split("\n")
+    page = "\n".join([*lines[:5], own, *lines[6:]])
+    assert 6 not in furniture_lines(page, TITLE)
+    assert 1 in furniture_lines(f"{word}\n{page}", TITLE)
