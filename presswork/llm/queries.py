@@ -63,10 +63,10 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = table(spark, sf_dir, "processed_articles", "article_id", "news_title", "scraped_content")
-    queue = table(spark, sf_dir, "raw_scraped_articles", "id", "news_title", "content")
+    history = table(spark, sf_dir, "processed_articles", "article_id", "news_title", "source", "scraped_content")
+    queue = table(spark, sf_dir, "raw_scraped_articles", "id", "news_title", "source", "content")
     shaped = [
-        df.select(F.lit(name).alias("table_name"), F.col(key).alias("row_id"), F.col(page).alias("page"), F.col("news_title").alias("title"))
+        df.select(F.lit(name).alias("table_name"), F.col(key).alias("row_id"), F.col(page).alias("page"), F.col("news_title").alias("title"), F.trim("source").alias("site"))
         for name, df, key, page in (("processed_articles", history, "article_id", "scraped_content"), ("raw_scraped_articles", queue, "id", "content"))
     ]
     return shaped[0].unionAll(shaped[1]).filter(F.length("page") > 0)

@@ -1,32 +1,100 @@
 """Main content of pages."""
 
-import pytest
-
-from presswork.llm.boilerplate import furniture_lines, line_events, main_text, page_furniture, page_main_text, smooth, threshold
-
-PAGE = """Skip to main content
-Home > Tenders > News
-Acme wins metro viaduct order in Goa for ₹40 crore
-By our correspondent | May 3
-Acme has won the viaduct order from the metro body, the firm said.
-
-Advertisement – scroll to continue
-Site and scope
-• A cookie factory beside the site will be moved by May.
-Also read: Beta shares fall 3 per cent
-The firm has kept all rights over the design.
-Most read
-Beta and Gamma settle old claim
-Delta drops stake in Pune plant
-Copyright Wire Media. No part of this page may be reproduced without written consent.
-Tags: EPC, tenders, India"""
-TITLE = "Order win | Acme bags metro viaduct order in Goa for ₹40 crore - Wire"
+import random
 
+import pytest
 
-def test_page_lines():
-    assert furniture_lines(PAGE, TITLE) == [1, 2, 7, 10, 12, 13, 14, 15, 16]
-    assert furniture_lines(PAGE, None) == [1, 2, 7, 10, 12, 13, 14, 15, 16]
-    assert "cookie factory" in main_text(PAGE, TITLE) and "Copyright" not in main_text(PAGE, TITLE)
+from presswork.llm.boilerplate import SIGMA, furniture_lines, line_events, main_text, page_furniture, page_main_text, page_templates, shape, smooth, threshold
+
+KINDS = "bridge dam kiln silo lathe tram quarry ferry loom mill".split()
+PLACES = "Arlu Bevik Cando Dorth Eskel Fanno Gimli Hurst Iveta Jonka".split()
+SENTENCES = (
+    "The {k} at {p} will be ready in {n} months, the owner said.",
+    "{p} has asked for {n} more workers to finish the {k} before winter.",
+    "No one was hurt when a wall of the {k} fell in {p} last week.",
+    "A second {k} near {p} is planned, and {n} firms want to build it.",
+    "Search for a new owner of the {k} has taken {n} weeks so far.",
+    "The council of {p} set aside {n} coins for the {k} and its yard.",
+)
+HEADS = ("Owner of {k} in {p} waits {n} weeks for bricks", "{p} counts {n} cracks in old {k}", "New {k} opens near {p} after {n} years")
+
+
+def story(rng: random.Random) -> str:
+    return rng.choice(SENTENCES).format(k=rng.choice(KINDS), p=rng.choice(PLACES), n=rng.randint(2, 99))
+
+
+def headline(rng: random.Random) -> str:
+    return rng.choice(HEADS).format(k=rng.choice(KINDS), p=rng.choice(PLACES), n=rng.randint(2, 99))
+
+
+def made_page(rng: random.Random, site: str, markup: bool) -> tuple[str, str, set[int]]:
+    """A page of a style with wording of its own: text, title and the numbers of its furniture lines."""
+    link = (lambda x: f'<li><a href="/x">{x}</a></li>') if markup else str
+    para = (lambda x: f"<p>{x}</p>") if markup else str
+    title = headline(rng)
+    lines = [(link(x), True) for x in ("Kitchen", "Garden", "Attic")[: rng.randint(1, 3)]]
+    lines += [(link(f"Welcome to {site}, reader {rng.randint(1, 99)}. Mind the step."), True)]
+    lines += [(para(title), False), (para(rng.choice(["From the tower", "Written at night"])), False)]
+    for at in range(rng.randint(3, 6)):
+        if at == 2 and rng.random() < 0.8:
+            lines.append((para(rng.choice(["Why now", "The plan in short"])), False))
+        lines.append((para(" ".join(story(rng) for _ in range(rng.randint(1, 3)))), False))
+        if rng.random() < 0.15:
+            lines.append((link(rng.choice(["Buy the green tin", "A word from the tin makers"])), True))
+    if rng.random() < 0.7:
+        lines.append((link("Neighbours were gripped by"), True))
+        lines += [(link(headline(rng)), True) for _ in range(rng.randint(2, 4))]
+    lines += [(link(x), True) for x in (f"{site} is printed on {rng.randint(10, 99)} sheets. Ask the porter.", "Ladder | Cellar | Roof | Porch")]
+    return "\n".join(x for x, _ in lines), title, {i for i, (_, off) in enumerate(lines, 1) if off}
+
+
+def made_corpus(n: int, markup: bool, seed: int = 5) -> list[tuple]:
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        site = rng.choice(["The Owl", "Daily Hedge", "Brook Post"])
+        page, title, wrong = made_page(rng, site, markup)
+        out.append((i, page, title if rng.random() < 0.8 else None, site, wrong))
+    return out
+
+
+def frame(spark, rows):
+    shaped = [("t", i, page, title, site, 5) for i, page, title, site, *_ in rows]
+    return spark.createDataFrame(shaped, "table_name string, row_id bigint, page string, title string, site string, line_no int")
+
+
+@pytest.mark.parametrize("markup", [False, True])
+def test_pages_of_a_style_that_no_list_knows(spark, markup):
+    rows = made_corpus(400, markup)
+    got = {(r["row_id"], r["line_no"]) for r in page_furniture(frame(spark, rows)).collect()}
+    true = {(i, n) for i, *_, wrong in rows for n in wrong}
+    # an insert that text nearly always follows is taken for a sub-head
+    assert len(got & true) >= 0.9 * len(true)
+    assert len(got & true) >= 0.95 * len(got)
+
+
+def test_smoothing_and_threshold_decide(spark):
+    rows = made_corpus(400, False)
+    templates = page_templates(frame(spark, rows))
+    ratio = lambda sigma: {(i, n) for i, page, title, site, _ in rows for n in furniture_lines(page, title, site, templates, sigma)}
+    smoothed, plain = ratio(SIGMA), ratio(0)
+    assert len(smoothed ^ plain) >= 0.15 * len(smoothed)
+    true = {(i, n) for i, *_, wrong in rows for n in wrong}
+    assert len(smoothed ^ true) < 0.7 * len(plain ^ true)
+
+
+def test_copies_of_one_story_are_no_template(spark):
+    rng = random.Random(3)
+    rows = made_corpus(200, False)
+    alone = [(1000 + i, rows[0][1].replace("ready", f"ready {i}") if i % 9 == 0 else rows[0][1], rows[0][2], rows[0][3], rows[0][4]) for i in range(100)]
+    got = {(r["row_id"], r["line_no"]) for r in page_furniture(frame(spark, rows + alone)).collect()}
+    for i, *_, wrong in (rng.choice(alone) for _ in range(20)):
+        assert {n for r, n in got if r == i} == wrong
+
+
+def test_a_shape_forgets_case_numbers_bullets_and_the_site():
+    assert shape("• 12 readers of The Owl", "The Owl") == shape("7 READERS of Daily  Hedge", None or "Daily  Hedge")
+    assert shape("a b", None) != shape("a c", None)
 
 
 @pytest.mark.parametrize("page", [None, "", "\n \n"])
@@ -47,26 +115,21 @@ def test_markup_is_parsed_in_one_stream():
 
 
 def test_smoothing_and_threshold():
-    level = smooth([0.0, 0.0, 9.0, 9.0, 9.0])
+    level = smooth([0.0, 0.0, 9.0, 9.0, 9.0], [(1.0, 1.0)] * 5)
     assert level[0] < level[1] < level[2] < level[4]
+    assert smooth([0.0, 9.0], [(1.0, 1.0)] * 2, 0) == [0.0, 9.0]
+    assert smooth([0.0, 9.0], [(60.0, 1.0), (1.0, 1.0)])[0] < smooth([0.0, 9.0], [(1.0, 1.0), (1.0, 1.0)])[0]
     assert 2 < threshold([0, 0.5, 1, 8, 9, 10]) < 8
-    assert threshold([3.0]) == 3.0
+    assert 0 < threshold([5.0, 5.2, 4.8]) < 4.8
 
 
 def test_frame(spark):
-    rows = [("t", 1, PAGE, TITLE, 5), ("t", 2, None, None, 5), ("t", 3, "", "x", 5), ("t", 4, "word " * 200_000, "x", 5)]
-    df = spark.createDataFrame(rows, "table_name string, row_id bigint, page string, title string, line_no int")
+    page = "Home > News > Mills\nOwner waits\nThe owner waits for bricks, he said on Monday.\nThe wall will stand by spring, the town said.\nA | B | C | D"
+    rows = [(1, page, None, None), (2, None, None, None), (3, "", "x", "y"), (4, "word " * 200_000, "x", None), (5, "x\n" * 50_000, None, "")]
+    df = frame(spark, rows)
     got = page_furniture(df).collect()
-    assert {r["row_id"] for r in got} == {1} and len(got) == 9
+    assert {r["line_no"] for r in got if r["row_id"] == 1} == {1, 5} and not {r["row_id"] for r in got} & {2, 3, 4}
     assert page_furniture(df.limit(0)).count() == 0
     kept = {r["row_id"]: r["main_text"] for r in page_main_text(df).collect()}
-    assert kept[2] is None and kept[3] == "" and kept[1].startswith("Acme wins metro") and "Tags" not in kept[1]
-
-
-@pytest.mark.parametrize("word", ["Search", "Close", "Register", "Newer"])
-def test_a_paragraph_may_begin_like_a_button(word):
-    own = f"{word} entries of the land office at Goa show that the body owns the whole of the site."
-    lines = PAGE.split("\n")
-    page = "\n".join([*lines[:5], own, *lines[6:]])
-    assert 6 not in furniture_lines(page, TITLE)
-    assert 1 in furniture_lines(f"{word}\n{page}", TITLE)
+    assert kept[2] is None and kept[3] == "" and kept[1].startswith("Owner waits\nThe owner")
+    assert main_text(page).endswith("the town said.")
