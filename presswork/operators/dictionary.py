@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import pyarrow as pa
@@ -65,8 +67,9 @@ def keyword_dict(keywords: DataFrame, key: str = "keyword", tag: str | None = No
 
 
 def alias_table(competitors: DataFrame, order: str = "competitor_id") -> DataFrame:
-    """``alias`` (lower case), ``official``, ``ord``: each official name and keyword; a later row takes over an alias
-    but leaves it its first place. Rows without a name are left out."""
+    """``alias`` (lower case), ``official``, ``first_row``, ``first_place``: each official name and keyword; a later row
+    takes over an alias but leaves it its first place (the row's ``order``, and 0 for the name or the number of the
+    keyword). Rows without a name are left out."""
     named = competitors.filter(F.col("competitor").isNotNull()).select(
         F.col(order).cast("bigint").alias("at"), strip(F.col("competitor")).alias("official"), F.col("keywords_raw")
     )
@@ -74,25 +77,44 @@ def alias_table(competitors: DataFrame, order: str = "competitor_id") -> DataFra
         "official",
         F.posexplode(F.concat(F.array(F.lower("official")), F.transform(quoted_keywords(F.col("keywords_raw")), lambda k: F.lower(strip(k))))).alias("k", "alias"),
         "at",
-    ).withColumn("place", F.col("at") * 1000 + F.col("k"))
-    return spelled.groupBy("alias").agg(F.max_by("official", "place").alias("official"), F.min("place").alias("ord"))
+    ).withColumn("place", F.struct(F.col("at").alias("first_row"), F.col("k").alias("first_place")))
+    placed = spelled.groupBy("alias").agg(F.max_by("official", "place").alias("official"), F.min("place").alias("place"))
+    return placed.select("alias", "official", "place.first_row", "place.first_place")
 
 
 def resolve_names(names: DataFrame, aliases: DataFrame, how: str = "both") -> DataFrame:
     """``name``, ``resolved`` of the distinct ``name`` column: by equality (``exact``), by the first alias that contains
     the name or is contained in it (``partial``), or ``both``; null where nothing fits. The alias table is bounded and
-    looked up in each worker."""
-    rows = sorted((r["ord"], r["alias"], r["official"]) for r in collect_bounded(aliases))
+    looked up in each worker: aliases inside a name by an automaton, the name inside aliases by one search in all of
+    them run together in order."""
+    rows = sorted((r["first_row"], r["first_place"], r["alias"], r["official"]) for r in collect_bounded(aliases))
+    known = [(alias, official) for _, _, alias, official in rows]
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        exact = {alias: official for _, alias, official in rows}
+        exact = dict(known)
+        automaton = ahocorasick.Automaton()
+        for rank, (alias, _) in enumerate(known):
+            if alias:
+                automaton.add_word(alias, rank)
+        automaton.make_automaton()
+        whole = "\0".join(alias for alias, _ in known)
+        starts = list(accumulate((len(alias) + 1 for alias, _ in known), initial=0))
+        blank = next((rank for rank, (alias, _) in enumerate(known) if not alias), None)
+
+        def first_fit(key: str) -> str | None:
+            ranks = [rank for _, rank in automaton.iter(key)] if len(automaton) else []
+            at = whole.find(key) if known and "\0" not in key else -1
+            ranks += [bisect_right(starts, at) - 1] if at >= 0 else []
+            ranks += [blank] if blank is not None else []
+            return known[min(ranks)][1] if ranks else None
+
         for batch in batches:
             out = []
             for name in batch.column("name").to_pylist():
                 key = name.strip().lower() if name is not None else None
                 found = exact.get(key) if how in ("exact", "both") and key is not None else None
                 if found is None and how in ("partial", "both") and key is not None:
-                    found = next((o for _, alias, o in rows if alias in key or key in alias), None)
+                    found = first_fit(key)
                 out.append(found)
             yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array(out, pa.string())], names=["name", "resolved"])
 

@@ -28,12 +28,17 @@ _SLASH = re.compile(r"(?<!\S)/(?!\S)")
 _FIRST = re.compile(r"[,;|•、，；｜\t\r\n\"“„«\[{(]|(?<!\S)/(?!\S)")
 
 
+def fold(text: str) -> str:
+    """Lower case, character by character, so that it does not depend on what stands beside a character."""
+    return text.lower() if text.isascii() else "".join(map(str.lower, text))
+
+
 def dictionary_automaton(values: tuple[str, ...]):
     """Automaton over the known values that hold a separator; the others need no protection."""
     automaton = ahocorasick.Automaton()
     for value in values:
         if any(c in value for c in SEPARATORS) or _SLASH.search(value):
-            automaton.add_word(value.lower(), len(value))
+            automaton.add_word(fold(value), len(fold(value)))
     automaton.make_automaton()
     return automaton
 
@@ -92,12 +97,13 @@ def segment(text: str | None, automaton=None) -> list[str]:
         spans.setdefault(m.start(), []).append((end + 1, 2 * size))
         at = end + 1
     if automaton is not None and len(automaton):
-        lowered = text.lower()
-        if len(lowered) == size:
-            for last, length in automaton.iter(lowered):
-                start = last + 1 - length
-                if begins(start) and ends(last + 1):
-                    spans.setdefault(start, []).append((last + 1, length))
+        lowered = fold(text)
+        # where each lower-case character comes from: some characters have two
+        origin = range(size) if len(lowered) == size else [at for at, c in enumerate(text) for _ in c.lower()]
+        for last, length in automaton.iter(lowered):
+            start, end = origin[last + 1 - length], origin[last] + 1
+            if begins(start) and ends(end):
+                spans.setdefault(start, []).append((end, end - start))
     if not spans:
         cuts = breaks
     else:

@@ -199,10 +199,10 @@ def sink_processed_defaults(spark, sf_dir):
     return stored_columns(insertable(batch, table(spark, sf_dir, "processed_articles", "link", "published_date"), "id"))
 
 
-ALIASES = """SELECT lower(a) AS alias, arg_max(official, place) AS official, min(place) AS ord FROM (
+ALIASES = """SELECT alias, official, place.r AS first_row, place.k AS first_place FROM (SELECT lower(a) AS alias, arg_max(official, place) AS official, min(place) AS place FROM (
  SELECT official, unnest(list_concat([lower(official)], list_transform(coalesce(regexp_extract_all(keywords_raw, '"([^"]+)"', 1), []), lambda k: lower(trim(k))))) AS a,
-  competitor_id * 1000 + unnest(range(0, 1 + len(coalesce(regexp_extract_all(keywords_raw, '"([^"]+)"', 1), [])))) AS place
- FROM (SELECT competitor_id, trim(competitor) AS official, keywords_raw FROM competitors WHERE competitor IS NOT NULL)) GROUP BY lower(a)"""
+  {'r': CAST(competitor_id AS BIGINT), 'k': CAST(unnest(range(0, 1 + len(coalesce(regexp_extract_all(keywords_raw, '"([^"]+)"', 1), [])))) AS INT)} AS place
+ FROM (SELECT competitor_id, trim(competitor) AS official, keywords_raw FROM competitors WHERE competitor IS NOT NULL)) GROUP BY lower(a))"""
 
 
 @registry.query("alias_map", ALIASES)
@@ -226,7 +226,7 @@ def normalize_exact(spark, sf_dir):
     return resolve_names(_names(spark, sf_dir), alias_table(table(spark, sf_dir, "competitors")), "exact")
 
 
-PARTIAL = f"""SELECT n.name, arg_min(a.official, a.ord) AS resolved FROM ({NAMES}) n
+PARTIAL = f"""SELECT n.name, arg_min(a.official, {{'r': a.first_row, 'k': a.first_place}}) AS resolved FROM ({NAMES}) n
  LEFT JOIN ({ALIASES}) a ON contains(lower(n.name), a.alias) OR contains(a.alias, lower(n.name)) GROUP BY n.name"""
 
 
@@ -237,7 +237,7 @@ def normalize_partial(spark, sf_dir):
 
 @registry.query(
     "normalize_competitors",
-    f"""WITH names AS ({NAMES}), aliases AS ({ALIASES}), part AS (SELECT n.name, arg_min(a.official, a.ord) AS resolved FROM names n
+    f"""WITH names AS ({NAMES}), aliases AS ({ALIASES}), part AS (SELECT n.name, arg_min(a.official, {{'r': a.first_row, 'k': a.first_place}}) AS resolved FROM names n
   LEFT JOIN aliases a ON contains(lower(n.name), a.alias) OR contains(a.alias, lower(n.name)) GROUP BY n.name),
  resolved AS (SELECT n.name, coalesce(a.official, p.resolved, n.name) AS official FROM names n LEFT JOIN aliases a ON lower(n.name) = a.alias JOIN part p ON p.name = n.name),
  rows AS (SELECT article_id, trim(unnest(string_split(competitor_tagging, ',')), ' \t\n\r') AS name FROM processed_articles

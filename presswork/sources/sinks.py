@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presswork.session import cut
+
 #: What a stored row gets for a column that the batch lacks altogether (fixed values).
 DEFAULTS = {
     "source": "", "relevance_score": 0, "competitor_tagging": "-", "sbu_tagging": "", "category_tag": "", "summary": "",
@@ -44,20 +49,55 @@ def stored_columns(batch: DataFrame) -> DataFrame:
     return batch.select(*[column(n, k) for n, k in STORED.items()])
 
 
-def insert_ignore(spark: SparkSession, batch: DataFrame, path: str, order: str, key: tuple[str, ...] = KEY) -> int:
-    """Append what does not conflict to the table at ``path``; the number of rows really inserted."""
+@dataclass(frozen=True)
+class Counts:
+    """What became of the rows of a batch."""
+
+    saved: int
+    skipped: int
+
+
+def _finish(spark: SparkSession, path: str, number: int, fresh: Callable[[], DataFrame]) -> None:
+    """Rows of batch ``number`` moved into the table once: they are staged whole in a hidden folder, and the moves of a
+    staged batch can be repeated."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    staged = at(f"{path}/_batches/{number}")
+    files = staged.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(at(staged, "_DONE")):
+        return
+    if not files.exists(at(staged, "_SUCCESS")):
+        fresh().write.mode("overwrite").parquet(staged.toString())
+    for found in files.listStatus(staged):
+        name = found.getPath().getName()
+        if name.startswith("part-"):
+            files.rename(found.getPath(), at(path, f"batch-{number}-{name}"))
+    files.create(at(staged, "_DONE")).close()
+
+
+def insert_ignore(spark: SparkSession, batch: DataFrame, path: str, order: str, key: tuple[str, ...] = KEY, number: int | None = None) -> Counts:
+    """Append what does not conflict to the table at ``path``; how many rows were really saved, and how many not.
+
+    With a ``number`` the batch is stored once, however often it is repeated,
+    rows with nulls in their key included.
+    """
     try:
         target = spark.read.parquet(path)
     except Exception as error:  # noqa: BLE001 - an absent table is an empty one
         if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
             raise
         target = batch.limit(0)
-    fresh = insertable(batch, target, order, key)
-    from presswork.session import cut
-
-    fresh = cut(fresh)
-    fresh.write.mode("append").parquet(path)
-    return fresh.count()
+    # only stored rows of the batch's own dates can conflict
+    if "published_date" in key and "published_date" in target.columns:
+        span = batch.agg(F.min("published_date"), F.max("published_date")).first()
+        target = target.filter(F.col("published_date").between(F.lit(span[0]), F.lit(span[1])))
+    fresh = cut(insertable(batch, target, order, key))
+    if number is None:
+        fresh.write.mode("append").parquet(path)
+    else:
+        _finish(spark, path, number, lambda: fresh)
+    saved = fresh.count()
+    return Counts(saved, batch.count() - saved)
 
 
 def drain(spark: SparkSession, path: str, schema) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,13 +20,14 @@ def queue_stream(spark: SparkSession, path: str, files_per_trigger: int = 64) ->
     return spark.readStream.schema(QUEUE_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def first_links(items: DataFrame, late: str = "3 days") -> DataFrame:
-    """The first item of each link; the links seen are kept for ``late`` after their arrival. Items without a date take the current time.
+def first_links(items: DataFrame, ingested: Column, late: str = "3 days") -> DataFrame:
+    """The first item of each link; the links seen are kept for ``late`` after their arrival. Items without a date take
+    the time ``ingested``, which the caller states, so that a repeated run gives the same.
 
     The watermark is on the time of arrival, so no item is dropped for its date. A link that comes again later than
     ``late`` passes; ``insert_ignore`` settles it.
     """
-    dated = items.withColumns({"published_date": F.coalesce("published_date", F.current_timestamp()), "_arrived": F.current_timestamp()})
+    dated = items.withColumns({"published_date": F.coalesce("published_date", ingested), "_arrived": F.current_timestamp()})
     return dated.withWatermark("_arrived", late).dropDuplicatesWithinWatermark(["link"]).drop("_arrived")
 
 
@@ -47,6 +48,6 @@ def store_available(
     """Store what has arrived so far, without conflicting rows, and end. A batch that is repeated after a failure inserts nothing twice."""
 
     def store(batch: DataFrame, number: int) -> None:
-        insert_ignore(batch.sparkSession, prepare(batch) if prepare else batch, target, order)
+        insert_ignore(batch.sparkSession, prepare(batch) if prepare else batch, target, order, number=number)
 
     return items.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

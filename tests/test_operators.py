@@ -18,7 +18,7 @@ def test_with_position_is_dense_and_total(spark):
     got = with_position(spark.createDataFrame(rows, "id int, v int").repartition(7), F.desc_nulls_first("v"), F.asc("id")).collect()
     wanted = sorted(rows, key=lambda r: (r[1] is not None, -(r[1] or 0), r[0]))
     assert [r["id"] for r in sorted(got, key=lambda r: r["pos"])] == [r[0] for r in wanted]
-    assert sorted(r["pos"] for r in got) == list(range(1, 501))
+    assert [r["pos"] for r in got] == list(range(1, 501))  # and in order
     assert with_position(spark.createDataFrame([], "id int"), F.asc("id")).count() == 0
 
 
@@ -199,3 +199,23 @@ def test_title_dedup_equals_the_scan(spark):
 )
 def test_same_event(category, f, g, wanted):
     assert events.same_event(f, g, category) is wanted
+
+
+def test_more_than_a_thousand_aliases_keep_their_order(spark):
+    many = ", ".join(f'"alias {i:04d}"' for i in range(1500))
+    firms = spark.createDataFrame([(1, "First", many), (2, "Second", '"alias 0003", "late"')], "competitor_id int, competitor string, keywords_raw string")
+    rows = {r["alias"]: (r["official"], r["first_row"], r["first_place"]) for r in alias_table(firms).collect()}
+    assert rows["alias 1499"] == ("First", 1, 1500) and rows["second"] == ("Second", 2, 0)
+    assert rows["alias 0003"] == ("Second", 1, 4)
+
+
+def test_partial_names_take_the_first_alias(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 4))) for _ in range(60)]
+    firms = spark.createDataFrame([(i, f"{w}", f'"{rng.choice(words)}"') for i, w in enumerate(words)], "competitor_id int, competitor string, keywords_raw string")
+    aliases = alias_table(firms)
+    known = [(a, o) for _, _, a, o in sorted((r["first_row"], r["first_place"], r["alias"], r["official"]) for r in aliases.collect())]
+    names = ["".join(rng.choice("abcd") for _ in range(rng.randint(0, 6))) for _ in range(80)]
+    got = dict(resolve_names(spark.createDataFrame([(n,) for n in names], "name string"), aliases, "partial").collect())
+    for n in names:
+        assert got[n] == next((o for a, o in known if a in n or n in a), None)

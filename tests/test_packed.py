@@ -38,6 +38,12 @@ def test_segment(packed, wanted):
     assert segment(packed, dictionary_automaton(("highway; elevated", "plain"))) == wanted
 
 
+def test_known_values_hold_beside_characters_that_grow_in_lower_case():
+    known = dictionary_automaton(("Alpha, Beta Works", "Öl, Gas İşleri"))
+    assert segment("Alpha, Beta Works; İstanbul", known) == ["Alpha, Beta Works", "İstanbul"]
+    assert segment("İ; Öl, Gas İşleri, b", known) == ["İ", "Öl, Gas İşleri", "b"]
+
+
 def test_joined_values_come_back():
     rng = random.Random(1)
     for _ in range(300):

@@ -30,8 +30,8 @@ def test_insert_ignore_and_drain(spark, tmp_path):
     path = str(tmp_path / "stored")
     day = datetime.datetime(2025, 1, 1)
     batch = spark.createDataFrame([(1, "a", day), (2, "a", day), (3, "a", None), (4, "a", None), (5, None, day)], "id int, link string, published_date timestamp")
-    assert sinks.insert_ignore(spark, batch, path, "id") == 4
-    assert sinks.insert_ignore(spark, batch, path, "id") == 3  # null keys never conflict
+    assert sinks.insert_ignore(spark, batch, path, "id") == sinks.Counts(4, 1)
+    assert sinks.insert_ignore(spark, batch, path, "id") == sinks.Counts(3, 2)  # null keys never conflict
     assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 3, 3, 4, 4, 5, 5]
     sinks.drain(spark, path, batch.schema)
     assert spark.read.parquet(path).count() == 0
