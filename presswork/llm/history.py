@@ -1,13 +1,16 @@
-"""New batches checked for repeats against all accepted history.
+"""New batches checked for repeats against all accepted history, which is kept as an index.
 
 The text of a record is the sorted sequence of the hashed distinct words of
 its title; a second text holds the canonical link. For each batch an immutable
-suffix array is built over the concatenated texts of the batch, with suffixes
-cut at the guaranteed match length. The arrays of earlier batches are merged
-logarithmically (equal levels only), so a batch looks its substrings up in
-O(log batches) arrays by binary search. Long matches name the records that can
-be alike, and their whole sets of hashed words are compared. Links found so
-are the same page only if their canonical texts are equal.
+segment is stored: the suffixes of its concatenated texts, cut at the
+guaranteed match length and sorted; the texts themselves; and the articles
+that can be a first one. Segments of equal level are merged, so there are
+O(log batches) of them. A new batch reads the part of the index near its dates
+and never the articles of earlier batches: its substrings are looked up in the
+sorted suffixes by binary search, the long matches are counted for each pair of
+records (their coverage), and pairs covered enough are compared by their whole
+sets of hashed words. Links found so are the same page only if their canonical
+texts are equal.
 
 Guaranteed match length: two sorted word sequences with ``s`` shared words and
 ``d`` others agree, somewhere, in a run of ``ceil(s / (d + 1))`` shared words.
@@ -15,24 +18,30 @@ Guaranteed match length: two sorted word sequences with ``s`` shared words and
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from presswork.operators.skew import HOT_ROWS, join_unique
-from presswork.session import cut
+from presswork.session import cut, ensure_checkpoint_dir
 
 #: Least likeness of the words of two titles.
 LIKENESS = 0.85
 #: Most hours between the dates of a repeat by title.
 HOURS = 72
-#: Windows that one shard of the index holds, about.
-SHARD_WINDOWS = 2_000_000
+#: Words of texts that one shard of a lookup holds, about.
+SHARD_WORDS = 2_000_000
 #: Candidate pairs looked at together in a shard.
 CHUNK = 2_000_000
+#: The bucket of all links; those of titles are spans of time.
+LINKS = -(2**30)
+#: Texts of more words than this share the match length of this many.
+TOP = 120
 
 #: Host prefixes of the same page, and parameters that do not identify a story.
 HOST_PREFIX = r"^(?:(?:www\d?|m|mobile|amp|lite|touch|wap)\.)+"
@@ -81,194 +90,92 @@ def match_length(n: int, least: float = LIKENESS) -> int:
     return found
 
 
-class Lengths:
-    """Match lengths by number of words: of queries, and all that the index must hold. Above ``TOP`` words as at ``TOP``."""
-
-    TOP = 120
-
-    def __init__(self, least: float = LIKENESS):
-        self.least = least
-        self.query = [0] + [match_length(n, least) for n in range(1, self.TOP + 1)]
-        #: Beyond TOP the run only grows towards least / (1 - least), and TOP's length holds.
-        self.query[self.TOP] = min(self.query[self.TOP // 2 :])
-        self.index: list[tuple[int, ...]] = [()]
-        for n in range(1, self.TOP + 1):
-            top = min(self.TOP, int(n / least + 1e-9) + 1)
-            self.index.append(tuple(sorted({self.query[m] for m in range(max(1, int(least * n)), top + 1)})))
-
-    def of_query(self, n: int) -> int:
-        return self.query[min(n, self.TOP)]
-
-    def of_index(self, n: int) -> tuple[int, ...]:
-        return self.index[min(n, self.TOP)]
-
-
-def windows_of(tokens: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """All runs of ``length`` tokens inside texts: the matrix of runs, and the text of each."""
-    counts = np.maximum(sizes - length + 1, 0)
-    text = np.repeat(np.arange(len(sizes)), counts)
-    if not len(text):
-        return np.empty((0, length), np.uint32), text
-    offset = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = starts[text] + offset
-    return tokens[at[:, None] + np.arange(length)], text
-
-
-def mixed(windows: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run, by which runs are sharded."""
-    h = np.full(len(windows), 0x9E3779B97F4A7C15, np.uint64)
-    for i in range(windows.shape[1]):
-        h = (h ^ windows[:, i].astype(np.uint64)) * np.uint64(0xFF51AFD7ED558CCD)
-        h ^= h >> np.uint64(29)
-    return h
-
-
-def suffix_keys(windows: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-    """Runs followed by their bucket, as byte strings whose order is that of the token sequences."""
-    whole = np.empty((len(windows), windows.shape[1] + 1), ">u4")
-    whole[:, :-1] = windows
-    whole[:, -1] = (bucket.astype(np.int64) + 2**31).astype(np.uint32)
-    return np.ascontiguousarray(whole).view(f"S{4 * whole.shape[1]}").ravel()
-
-
-class SuffixArrays:
-    """Immutable sorted arrays of the batches so far, merged whenever two have the same level."""
-
-    def __init__(self):
-        self.levels: list[tuple[int, np.ndarray, np.ndarray]] = []
-
-    def add(self, keys: np.ndarray, text: np.ndarray) -> None:
-        """A new batch: its suffixes sorted, then merged with arrays of equal level."""
-        order = np.argsort(keys, kind="stable")
-        level, keys, text = 0, keys[order], text[order]
-        while self.levels and self.levels[-1][0] == level:
-            _, old_keys, old_text = self.levels.pop()
-            at = np.searchsorted(old_keys, keys, "right")
-            keys, text = np.insert(old_keys, at, keys), np.insert(old_text, at, text)
-            level += 1
-        self.levels.append((level, keys, text))
-
-    def search(self, low: np.ndarray, high: np.ndarray, query: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(query, indexed text) of all suffixes from ``low`` to ``high``, in chunks."""
-        for _, keys, text in self.levels:
-            first, last = np.searchsorted(keys, low, "left"), np.searchsorted(keys, high, "right")
-            hits = last - first
-            some = np.flatnonzero(hits > 0)
-            if not len(some):
-                continue
-            bounds = np.cumsum(hits[some])
-            begin = 0
-            while begin < len(some):
-                end = max(begin + 1, int(np.searchsorted(bounds, (bounds[begin - 1] if begin else 0) + CHUNK, "right")))
-                part = some[begin:end]
-                n = hits[part]
-                at = np.repeat(first[part], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                yield np.repeat(query[part], n), text[at]
-                begin = end
-
-
-def shared_counts(tokens: np.ndarray, starts: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many tokens the texts of each pair share; the tokens of a text are distinct."""
-
-    def spread(text: np.ndarray) -> np.ndarray:
-        n = sizes[text]
-        at = np.repeat(starts[text], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        return (np.repeat(np.arange(len(text), dtype=np.uint64), n) << np.uint64(32)) | tokens[at].astype(np.uint64)
-
-    both = np.sort(np.concatenate([spread(a), spread(b)]))
-    twice = both[:-1][both[:-1] == both[1:]] >> np.uint64(32)
-    return np.bincount(twice.astype(np.int64), minlength=len(a))
-
-
-def texts_of(batch: pa.RecordBatch | pa.Table, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Flat tokens, starts and sizes of a list column."""
-    values = batch.column(column)
-    if isinstance(values, pa.ChunkedArray):
-        values = values.combine_chunks()
-    sizes = values.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    return values.flatten().to_numpy(zero_copy_only=False).astype(np.uint32), np.cumsum(sizes) - sizes, sizes
-
-
-def long_matches(texts: DataFrame, least: float = LIKENESS, shards: int | None = None) -> DataFrame:
-    """``query_id``, ``text_id``: texts at least so alike, of which the second was seen in an earlier batch.
-
-    ``texts`` has ``text_id``, ``bucket``, ``first_batch`` and ``last_batch``
-    (where the text was seen first and last) and ``tokens`` (its sorted
-    distinct hashed words). Only texts in the same or adjacent buckets are
-    compared. A text matches itself if it was seen in two batches.
-    """
-    spark = texts.sparkSession
-    if shards is None:
-        words = texts.agg(F.sum(F.size("tokens"))).first()[0] or 0
-        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * words // SHARD_WINDOWS))
-    lengths = Lengths(least)
-    columns = "text_id bigint, bucket int, first_batch int, last_batch int, tokens array<int>"
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each text once to every shard that holds one of its runs."""
-        for batch in batches:
-            tokens, starts, sizes = texts_of(batch, "tokens")
-            pairs = []
-            for n in np.unique(sizes):
-                if not n:
-                    continue
-                own = np.flatnonzero(sizes == n)
-                for length in sorted({lengths.of_query(n), *lengths.of_index(n)}):
-                    runs, text = windows_of(tokens, starts[own], sizes[own], length)
-                    pairs.append(own[text] * shards + (mixed(runs) % np.uint64(shards)).astype(np.int64))
-            pairs = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.int64)
-            row = pa.array(pairs // shards)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((pairs % shards).astype(np.int32)), *(batch.column(c).take(row) for c in ("text_id", "bucket", "first_batch", "last_batch", "tokens"))],
-                names=["shard", "text_id", "bucket", "first_batch", "last_batch", "tokens"],
-            )
-
-    def replay(table: pa.Table) -> pa.Table:
-        """The batches in order: each looks up its runs in the arrays of earlier ones, then adds its own."""
-        shard = np.uint64(table.column("shard")[0].as_py())
-        ids, bucket, first, last = (table.column(c).to_numpy() for c in ("text_id", "bucket", "first_batch", "last_batch"))
-        tokens, starts, sizes = texts_of(table, "tokens")
-        bits = np.uint64(1) << (tokens.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(58))
-        signature = np.bitwise_or.reduceat(bits, starts) if len(starts) else bits
-        out: list[np.ndarray] = []
-        asked = np.array([lengths.of_query(n) for n in range(Lengths.TOP + 1)])[np.minimum(sizes, Lengths.TOP)]
-        held: dict[int, np.ndarray] = {}
-        for length in {x for n in np.unique(sizes) for x in lengths.of_index(n)}:
-            fits = np.array([length in lengths.of_index(n) for n in range(Lengths.TOP + 1)])
-            held[length] = fits[np.minimum(sizes, Lengths.TOP)]
-        for length in sorted(held):
-            runs, text = windows_of(tokens, starts, sizes, length)
-            own = mixed(runs) % np.uint64(shards) == shard
-            runs, text = runs[own], text[own]
-            index, ask = held[length][text], asked[text] == length
-            arrays = SuffixArrays()
-            pairs: list[np.ndarray] = []
-            for number in np.unique(np.concatenate([first, last])):
-                now = np.flatnonzero(ask & (last[text] == number))
-                if len(now) and arrays.levels:
-                    at = bucket[text[now]]
-                    for q, h in arrays.search(suffix_keys(runs[now], at - 1), suffix_keys(runs[now], at + 1), text[now]):
-                        total = sizes[q] + sizes[h]
-                        differ = np.bitwise_count(signature[q] ^ signature[h])
-                        near = differ <= total - 2 * np.ceil(least * total / (1 + least) - 1e-9)
-                        pairs.append(np.unique((q[near].astype(np.int64) << 32) | h[near]))
-                add = np.flatnonzero(index & (first[text] == number))
-                if len(add):
-                    arrays.add(suffix_keys(runs[add], bucket[text[add]]), text[add])
-            if pairs:
-                out.append(np.unique(np.concatenate(pairs)))
-        found = np.unique(np.concatenate(out)) if out else np.empty(0, np.int64)
-        kept = []
-        for begin in range(0, len(found), 200_000):
-            part = found[begin : begin + 200_000]
-            a, b = part >> 32, part & 0xFFFFFFFF
-            shared = shared_counts(tokens, starts, sizes, a, b)
-            kept.append(part[shared >= least * (sizes[a] + sizes[b] - shared) - 1e-9])
-        found = np.concatenate(kept) if kept else found
-        return pa.table({"query_id": pa.array(ids[found >> 32], pa.int64()), "text_id": pa.array(ids[found & 0xFFFFFFFF], pa.int64())})
-
-    routed = texts.select("text_id", "bucket", "first_batch", "last_batch", "tokens").mapInArrow(route, "shard int, " + columns)
-    return routed.groupBy("shard").applyInArrow(replay, "query_id bigint, text_id bigint").distinct()
+def class_lengths(least: float = LIKENESS, classes: int = 128) -> list[int]:
+    """The match length of each class of sizes; sizes of one class differ by less than the factor 1 / ``least``, so texts so
+    alike are of one class or of neighbours, and share a run of the length of either's class."""
+    by_size = [0] + [match_length(n, least) for n in range(1, TOP + 1)]
+    # beyond TOP the run only grows towards least / (1 - least)
+    by_size[TOP] = min(by_size[TOP // 2 :])
+    step = math.log(1 / least)
+    found: dict[int, int] = {}
+    for n in range(1, TOP + 1):
+        c = int(math.log(n) / step + 1e-9)
+        found[c] = min(found.get(c, n), by_size[n])
+    return [found.get(c, 1 if c < max(found) else by_size[TOP]) for c in range(classes)]
+
+
+def _class(n: Column, least: float) -> Column:
+    return F.floor(F.log(n) / F.lit(math.log(1 / least)) + F.lit(1e-9)).cast("int")
+
+
+def _with_length(texts: DataFrame, of: Column, least: float) -> DataFrame:
+    """``texts`` with ``length``, the match length of class ``of``; texts without a run so long are left out."""
+    known = F.array(*map(F.lit, class_lengths(least)))
+    return texts.filter(of >= 0).withColumn("length", F.element_at(known, of + 1)).filter(F.col("length") <= F.col("size"))
+
+
+def _suffixes(bucket: Column) -> Column:
+    """The suffixes of a text's ``tokens``, cut at ``length``, as hashes that include the bucket."""
+    starts = F.sequence(F.lit(1), F.col("size") - F.col("length") + 1)
+    return F.explode(F.array_distinct(F.transform(starts, lambda i: F.xxhash64(bucket, F.slice("tokens", i, F.col("length")), F.col("length"))))).alias("run")
+
+
+def search_suffixes(keys: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each of ``low`` begins and ends in the sorted ``keys``, by binary search."""
+    return np.searchsorted(keys, low, "left"), np.searchsorted(keys, low, "right")
+
+
+def long_matches(asked: pa.Table, held: pa.Table, least: float = LIKENESS) -> pa.Table:
+    """Pairs of ``asked`` and ``held`` texts with the number of runs they share, without those whose signatures exclude it."""
+    names = ["query_id", "text_id", "asked_size", "held_size", "runs"]
+    column = lambda t, c: t.column(c).to_numpy()
+    order = np.argsort(column(held, "run"), kind="stable")
+    keys = column(held, "run")[order]
+    held_id, held_sign, held_size = (column(held, c)[order] for c in ("text_id", "sign", "size"))
+    asked_id, asked_sign, asked_size = (column(asked, c) for c in ("text_id", "sign", "size"))
+    held_sign, asked_sign = held_sign.view(np.uint64), np.ascontiguousarray(asked_sign).view(np.uint64)
+    first, last = search_suffixes(keys, column(asked, "run"))
+    hits = last - first
+    some = np.flatnonzero(hits > 0)
+    bounds, begin, out = np.cumsum(hits[some]), 0, []
+    while begin < len(some):
+        end = max(begin + 1, int(np.searchsorted(bounds, (bounds[begin - 1] if begin else 0) + CHUNK, "right")))
+        part = some[begin:end]
+        n = hits[part]
+        h = np.repeat(first[part], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        q = np.repeat(part, n)
+        total = asked_size[q] + held_size[h]
+        near = np.bitwise_count(asked_sign[q] ^ held_sign[h]) <= total - 2 * np.ceil(least * total / (1 + least) - 1e-9)
+        pair = np.empty(int(near.sum()), [("q", np.int64), ("h", np.int64), ("m", np.int64), ("n", np.int64)])
+        pair["q"], pair["h"], pair["m"], pair["n"] = asked_id[q[near]], held_id[h[near]], asked_size[q[near]], held_size[h[near]]
+        out.append(np.unique(pair, return_counts=True))
+        begin = end
+    pairs = np.concatenate([p for p, _ in out]) if out else np.empty(0, [(c, np.int64) for c in "qhmn"])
+    counts = np.concatenate([c for _, c in out]) if out else np.empty(0, np.int64)
+    return pa.table([pa.array(np.ascontiguousarray(pairs[c])) for c in "qhmn"] + [pa.array(counts.astype(np.int64))], names=names)
+
+
+def prepared(articles: DataFrame, hours: int = HOURS) -> DataFrame:
+    """``article_id``, ``ts``, ``bucket``, ``tokens``, ``page``, ``text_id``: a row for the title and one for the link of each article."""
+    micros = hours * 3_600_000_000
+    base = articles.filter(F.col("article_id").isNotNull()).select(
+        "article_id",
+        F.unix_micros(F.col("published_date").cast("timestamp")).alias("ts"),
+        canonical_link(F.col("link")).alias("page"),
+        distinct_words(F.col("news_title")).alias("words"),
+    )
+    titled = base.filter(F.col("ts").isNotNull() & (F.size("words") > 0)).select(
+        "article_id",
+        "ts",
+        F.floor(F.col("ts") / micros).cast("int").alias("bucket"),
+        F.array_sort(F.array_distinct(F.transform("words", lambda w: F.hash(w)))).alias("tokens"),
+        F.lit("").alias("page"),
+        F.array_join(F.array_sort("words"), " ").alias("key"),
+    )
+    linked = base.filter(F.col("page").isNotNull()).select(
+        "article_id", F.lit(None).cast("bigint").alias("ts"), F.lit(LINKS).alias("bucket"), link_tokens(F.col("page")).alias("tokens"), "page", F.col("page").alias("key")
+    )
+    return titled.unionAll(linked).withColumn("text_id", F.xxhash64("key", "bucket", F.lit(7))).drop("key")
 
 
 def _staircase(rows: DataFrame, *by: str) -> DataFrame:
@@ -284,76 +191,147 @@ def _staircase(rows: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def repeats_of_history(
-    articles: DataFrame, least: float = LIKENESS, hours: int = HOURS, shards: int | None = None, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """``first_id``, ``article_id``: articles that repeat an earlier batch, with the first article they repeat.
+class HistoryIndex:
+    """The stored index at ``path``, a folder that all executors share.
 
-    ``articles`` has ``article_id`` (rising with the batch), ``batch_id``,
-    ``link``, ``news_title`` and ``published_date``. A repeat has the same page
-    behind its link, or a title whose words are at least ``least`` alike and a
-    date at most ``hours`` away. What a text can repeat is kept as its smallest
-    ids over time (a logarithmic number of rows for ids in any usual order), so
-    a title that fills a third of all rows forms no large group. Null batches and ids take no part; null links,
-    titles without words and null dates match nothing.
+    A segment is a folder ``first-last-level-words`` with the parts ``runs`` (sorted
+    suffixes), ``texts`` and ``firsts`` (articles that can be a first one: of
+    each text the smallest ids over time, a logarithmic number for ids in any
+    usual order). ``shards`` fixes the number of shards of a lookup in tests.
     """
-    micros = hours * 3_600_000_000
-    words = distinct_words(F.col("news_title"))
-    base = articles.filter(F.col("article_id").isNotNull() & F.col("batch_id").isNotNull()).select(
-        "article_id",
-        F.col("batch_id").cast("int").alias("batch"),
-        F.unix_micros(F.col("published_date").cast("timestamp")).alias("ts"),
-        canonical_link(F.col("link")).alias("page"),
-        words.alias("words"),
-    )
-    titled = base.filter(F.col("ts").isNotNull() & (F.size("words") > 0)).select(
-        "article_id",
-        "batch",
-        "ts",
-        F.floor(F.col("ts") / micros).cast("int").alias("bucket"),
-        F.array_sort(F.array_distinct(F.transform("words", lambda w: F.hash(w)))).alias("tokens"),
-        F.lit("").alias("page"),
-        F.array_join(F.array_sort("words"), " ").alias("key"),
-    )
-    linked = base.filter(F.col("page").isNotNull()).select(
-        "article_id",
-        "batch",
-        F.lit(None).cast("bigint").alias("ts"),
-        F.lit(-(2**30)).alias("bucket"),
-        link_tokens(F.col("page")).alias("tokens"),
-        "page",
-        F.col("page").alias("key"),
-    )
-    rows = cut(titled.unionAll(linked).withColumn("text_id", F.xxhash64("key", "bucket", F.lit(7))).drop("key"))
-    texts = cut(
-        rows.groupBy("text_id", "page").agg(
-            F.first("bucket").alias("bucket"),
-            F.min("batch").alias("first_batch"),
-            F.max("batch").alias("last_batch"),
-            F.first("tokens").alias("tokens"),
-            F.count("*").alias("n"),
+
+    PARTS = {"runs": ("bucket", "run"), "texts": ("bucket", "text_id"), "firsts": ("bucket", "text_id")}
+    SCHEMAS = {
+        "runs": "bucket int, text_id bigint, sign bigint, size int, run bigint",
+        "texts": "bucket int, text_id bigint, page string, size int, tokens array<int>",
+        "firsts": "text_id bigint, page string, bucket int, article_id bigint, ts bigint",
+    }
+
+    def __init__(self, spark: SparkSession, path: str, least: float = LIKENESS, hours: int = HOURS, shards: int | None = None, hot_rows: int = HOT_ROWS):
+        self.spark, self.path, self.least, self.hours, self.shards, self.hot_rows = spark, path, least, hours, shards, hot_rows
+        at = spark._jvm.org.apache.hadoop.fs.Path
+        self._at, self._files = at, at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        found = self._files.listStatus(at(path)) if self._files.exists(at(path)) else []
+        names = sorted(f.getPath().getName() for f in found if self._files.exists(at(f.getPath(), "_DONE")))
+        # a merge that was cut off leaves the segments that it stands for
+        self.segments = [n for n in names if not any(m != n and _span(m)[0] <= _span(n)[0] and _span(n)[1] <= _span(m)[1] for m in names)]
+
+    def _read(self, part: str, segments: list[str] | None = None) -> DataFrame:
+        return self.spark.read.schema(self.SCHEMAS[part]).parquet(*[f"{self.path}/{s}/{part}" for s in (self.segments if segments is None else segments)])
+
+    def _write(self, name: str, parts: dict[str, DataFrame], ranged: bool) -> None:
+        for part, df in parts.items():
+            order = self.PARTS[part]
+            df = df.repartitionByRange(*order) if ranged else df
+            df.sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{self.path}/{name}/{part}")
+        self._files.create(self._at(f"{self.path}/{name}/_DONE")).close()
+
+    def accept(self, batch: DataFrame) -> DataFrame:
+        """``first_id``, ``article_id``: the articles of ``batch`` that repeat one of the index, with the smallest id that
+        each repeats. Then the batch is part of the index. ``batch`` has ``article_id``, ``link``, ``news_title`` and
+        ``published_date``; null ids take no part; null links, titles without words and null dates match nothing."""
+        rows = cut(prepared(batch, self.hours))
+        texts = cut(
+            rows.groupBy("text_id", "page")
+            .agg(F.first("bucket").alias("bucket"), F.first("tokens").alias("tokens"), F.count("*").alias("n"))
+            .withColumn("size", F.size("tokens"))
+            .withColumn("sign", F.expr("aggregate(tokens, 0L, (a, t) -> a | shiftleft(1L, int(pmod(hash(t), 64))))"))
         )
-    )
-    pairs = long_matches(texts, least, shards)
-    slim = rows.select("text_id", "page", "article_id", "batch", "ts")
-    salted = slim.withColumn("salt", F.pmod(F.xxhash64("article_id"), F.lit(16)))
-    steps = _staircase(_staircase(salted, "text_id", "page", "salt").drop("salt"), "text_id", "page")
-    # the page goes along: what stands for a link may be shared by other pages, whose rows stay apart here
-    before = (
-        pairs.join(steps, "text_id")
-        .groupBy(F.col("query_id").alias("text_id"), "page")
-        .agg(F.collect_list(F.struct("article_id", "batch", "ts")).alias("before"))
-        .join(texts.select("text_id", "page", "n"), ["text_id", "page"])
-    )
-    near = F.filter(
-        "before",
-        lambda p: (p["batch"] < F.col("batch")) & (F.col("ts").isNull() | (F.abs(p["ts"] - F.col("ts")) <= micros)),
-    )
-    return (
-        join_unique(slim, before, ["text_id", "page"], "n", F.col("article_id"), hot_rows)
-        .select("article_id", F.array_min(F.transform(near, lambda p: p["article_id"])).alias("first_id"))
-        .filter(F.col("first_id").isNotNull())
-        .groupBy("article_id")
-        .agg(F.min("first_id").alias("first_id"))
-        .select("first_id", "article_id")
-    )
+        own = F.when(F.col("bucket") != LINKS, F.col("bucket"))
+        span = texts.agg(F.min(own), F.max(own), F.coalesce(F.sum("size"), F.lit(0))).first()
+        found = cut(self._lookup(rows, texts, span)) if self.segments else self.spark.createDataFrame([], "first_id bigint, article_id bigint")
+        self._add(rows, texts, span[2])
+        return found
+
+    def _lookup(self, rows: DataFrame, texts: DataFrame, span: tuple[int | None, int | None, int]) -> DataFrame:
+        """The repeats among ``rows``; ``span`` has the first and last bucket of their titles and their number of words."""
+        near = F.col("bucket") == LINKS
+        if span[0] is not None:
+            near = near | F.col("bucket").between(span[0] - 1, span[1] + 1)
+        held_texts, held, firsts = (self._read(part).filter(near) for part in ("texts", "runs", "firsts"))
+        shards = self.shards
+        if shards is None:
+            words = span[2] + sum(_span(s)[3] for s in self.segments)
+            shards = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * words // SHARD_WORDS))
+        # a text so alike is of the same class of sizes or a neighbouring one, and of the same bucket or a neighbouring one
+        classes = texts.withColumn("of", F.explode(F.array(*[_class(F.col("size"), self.least) + k for k in (-1, 0, 1)])))
+        steps = F.when(F.col("bucket") == LINKS, F.array(F.lit(0))).otherwise(F.array(*map(F.lit, (-1, 0, 1))))
+        probes = _with_length(classes, F.col("of"), self.least).withColumn("step", F.explode(steps))
+        shard = F.pmod(F.col("run"), F.lit(shards)).cast("int").alias("shard")
+        asked = probes.select("text_id", "sign", "size", _suffixes(F.col("bucket") + F.col("step"))).select("*", shard)
+        held = held.select("text_id", "sign", "size", "run").select("*", shard)
+        least = self.least
+
+        def search(left: pa.Table, right: pa.Table) -> pa.Table:
+            return long_matches(left, right, least)
+
+        schema = "query_id bigint, text_id bigint, asked_size bigint, held_size bigint, runs bigint"
+        pairs = asked.groupBy("shard").cogroup(held.groupBy("shard")).applyInArrow(search, schema)
+        # coverage: the runs that all matches of a pair hold together, and the least that texts so alike have
+        total = F.col("asked_size") + F.col("held_size")
+        shared = F.ceil(F.lit(least) * total / (1 + least) - 1e-9)
+        length = F.element_at(F.array(*map(F.lit, class_lengths(least))), _class(F.col("held_size"), least) + 1)
+        covered = pairs.groupBy("query_id", "text_id", "asked_size", "held_size").agg(F.sum("runs").alias("runs"))
+        covered = covered.filter(F.col("runs") >= shared - (total - 2 * shared + 1) * (length - 1)).select("query_id", "text_id")
+        both = F.size(F.array_intersect("tokens", "held_tokens"))
+        alike = (
+            covered.join(texts.select(F.col("text_id").alias("query_id"), "page", "tokens"), "query_id")
+            .join(held_texts.select("text_id", F.col("page").alias("held_page"), F.col("tokens").alias("held_tokens")), "text_id")
+            .filter((F.col("page") == F.col("held_page")) & (both >= F.lit(least) * (F.size("tokens") + F.size("held_tokens") - both) - 1e-9))
+            .select("query_id", "text_id", "page")
+        )
+        # of one bucket a reach of time holds the beginning, the end or all
+        before = _staircase(alike.join(firsts, ["text_id", "page"]).drop("text_id"), "query_id", "page", "bucket")
+        mapping = before.select(F.col("query_id").alias("text_id"), "page", F.col("article_id").alias("first_id"), F.col("ts").alias("first_ts")).join(
+            texts.select("text_id", "page", "n"), ["text_id", "page"]
+        )
+        micros = self.hours * 3_600_000_000
+        return (
+            join_unique(rows.select("text_id", "page", "article_id", "ts"), mapping, ["text_id", "page"], "n", F.col("article_id"), self.hot_rows)
+            .filter(F.col("ts").isNull() | (F.abs(F.col("ts") - F.col("first_ts")) <= micros))
+            .groupBy("article_id")
+            .agg(F.min("first_id").alias("first_id"))
+            .select("first_id", "article_id")
+        )
+
+    def _add(self, rows: DataFrame, texts: DataFrame, words: int) -> None:
+        number = max((_span(s)[1] for s in self.segments), default=0) + 1
+        salted = rows.select("text_id", "page", "bucket", "article_id", "ts").withColumn("salt", F.pmod(F.xxhash64("article_id"), F.lit(16)))
+        firsts = _staircase(_staircase(salted, "text_id", "page", "salt").drop("salt"), "text_id", "page")
+        runs = _with_length(texts, _class(F.col("size"), self.least), self.least).select("bucket", "text_id", "sign", "size", _suffixes(F.col("bucket")))
+        name = f"{number:06d}-{number:06d}-0-{words}"
+        self._write(name, {"runs": runs, "texts": texts.select("bucket", "text_id", "page", "size", "tokens"), "firsts": firsts}, False)
+        self.segments.append(name)
+        while len(self.segments) > 1 and _span(self.segments[-1])[2] == _span(self.segments[-2])[2]:
+            pair = self.segments[-2:]
+            (first, _, level, some), (_, last, _, more) = map(_span, pair)
+            merged = f"{first:06d}-{last:06d}-{level + 1}-{some + more}"
+            self._write(merged, {part: self._read(part, pair) for part in self.PARTS}, True)
+            self.segments[-2:] = [merged]
+            for old in pair:
+                self._files.delete(self._at(f"{self.path}/{old}"), True)
+
+
+def _span(segment: str) -> tuple[int, ...]:
+    """First batch, last batch, level and number of words of a segment."""
+    return tuple(map(int, segment.split("-")))
+
+
+def repeats_of_history(articles: DataFrame, path: str | None = None, **settings) -> DataFrame:
+    """``first_id``, ``article_id``: articles that repeat an earlier batch, with the first article they repeat.
+
+    ``articles`` has ``article_id``, ``batch_id``, ``link``, ``news_title`` and
+    ``published_date``. A repeat has the same page behind its link, or a title
+    whose words are at least ``least`` alike and a date at most ``hours`` away.
+    The batches are accepted in order, each against the index of those before
+    it; the index is kept at ``path``, or dropped if none is given. Null
+    batches take no part.
+    """
+    spark = articles.sparkSession
+    index = HistoryIndex(spark, path or f"{ensure_checkpoint_dir(spark)}/presswork-history-{uuid.uuid4()}", **settings)
+    # one row for each batch
+    batches = sorted(r[0] for r in articles.select("batch_id").distinct().collect() if r[0] is not None)
+    found = [index.accept(articles.filter(F.col("batch_id") == b)) for b in batches]
+    if path is None:
+        index._files.delete(index._at(index.path), True)
+    return reduce(DataFrame.unionAll, found) if found else spark.createDataFrame([], "first_id bigint, article_id bigint")

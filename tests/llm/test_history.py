@@ -1,14 +1,17 @@
 """Repeats of accepted history."""
 
 import datetime
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from presswork.llm.history import SuffixArrays, canonical_link, match_length, repeats_of_history, shared_counts, suffix_keys
+from presswork.llm.history import HistoryIndex, canonical_link, class_lengths, long_matches, match_length, repeats_of_history
 
 SCHEMA = "article_id bigint, batch_id int, link string, news_title string, published_date timestamp, tokens int, text_id string"
 DAY = datetime.datetime(2025, 3, 1)
@@ -51,28 +54,21 @@ def test_match_length_is_guaranteed():
         assert any(tuple(a[i : i + length]) in runs for i in range(len(a) - length + 1))
 
 
-def test_suffix_arrays_merge_levels_and_find_all():
+def test_class_lengths_hold_for_texts_so_alike():
+    lengths, step = class_lengths(), math.log(1 / 0.85)
+    for n in range(1, 119):
+        assert lengths[int(math.log(n) / step + 1e-9)] <= match_length(n)
+
+
+def test_long_matches_find_all_runs():
     rng = np.random.default_rng(1)
-    arrays, keys, texts = SuffixArrays(), [], []
-    for batch in range(11):
-        windows = rng.integers(0, 4, (rng.integers(1, 60), 3)).astype(np.uint32)
-        bucket = rng.integers(-2, 3, len(windows))
-        text = rng.integers(0, 1000, len(windows))
-        arrays.add(suffix_keys(windows, bucket), text)
-        keys += [(tuple(w), b) for w, b in zip(windows.tolist(), bucket.tolist())]
-        texts += text.tolist()
-        assert len(arrays.levels) == bin(batch + 1).count("1")
-    asked = np.array([[0, 1, 2], [3, 3, 3]], np.uint32)
-    at = np.array([0, 1])
-    found = [(q, t) for qs, ts in arrays.search(suffix_keys(asked, at - 1), suffix_keys(asked, at + 1), np.arange(2)) for q, t in zip(qs.tolist(), ts.tolist())]
-    wanted = [(q, t) for q in range(2) for (w, b), t in zip(keys, texts) if list(w) == asked[q].tolist() and abs(b - at[q]) <= 1]
-    assert sorted(found) == sorted(wanted)
-
-
-def test_shared_counts():
-    tokens = np.array([1, 2, 3, 2, 3, 4, 9], np.uint32)
-    starts, sizes = np.array([0, 3, 6]), np.array([3, 3, 1])
-    assert shared_counts(tokens, starts, sizes, np.array([0, 0, 1]), np.array([1, 2, 1])).tolist() == [2, 0, 3]
+    held = {"run": rng.integers(0, 40, 300), "text_id": rng.integers(0, 90, 300), "sign": np.zeros(300, np.int64), "size": np.full(300, 9)}
+    asked = {"run": rng.integers(0, 50, 80), "text_id": rng.integers(100, 140, 80), "sign": np.zeros(80, np.int64), "size": np.full(80, 9)}
+    got = long_matches(pa.table(asked), pa.table(held)).to_pylist()
+    wanted = Counter((q, h) for r, q in zip(asked["run"], asked["text_id"]) for k, h in zip(held["run"], held["text_id"]) if r == k)
+    assert {(r["query_id"], r["text_id"]): r["runs"] for r in got} == wanted and len(got) == len(wanted)
+    far = {**asked, "sign": np.full(80, -1, np.int64)}
+    assert long_matches(pa.table(far), pa.table(held)).num_rows == 0
 
 
 def brute(rows):
@@ -134,3 +130,41 @@ def test_the_text_of_a_link_decides(spark, monkeypatch):
     rows = [(i, i, f"https://a.example/{i % 4}", None, DAY, 0, "") for i in range(1, 12)]
     got = repeats_of_history(spark.createDataFrame(rows, SCHEMA), hot_rows=2)
     assert sorted(map(tuple, got.collect())) == sorted((i - 4 if i < 9 else i - 8, i) for i in range(5, 12))
+
+
+def made_history(n, batches):
+    rng = random.Random(2)
+    stories = [[f"w{rng.randrange(80)}" for _ in range(rng.randint(3, 14))] for _ in range(15)]
+    rows = []
+    for i in range(1, n + 1):
+        story = list(rng.choice(stories))
+        if rng.random() < 0.5:
+            story[rng.randrange(len(story))] = f"w{rng.randrange(80)}"
+        link = f"https://a.example/{rng.randrange(n)}"
+        rows.append((i, 1 + i * batches // (n + 1), link, " ".join(story), DAY + datetime.timedelta(hours=rng.randrange(300)), 1, "x"))
+    return rows
+
+
+def test_the_index_is_kept_and_articles_are_not_read_again(spark, tmp_path):
+    rows = made_history(200, 6)
+    path, found = str(tmp_path / "index"), []
+    for b in range(1, 7):
+        # the articles of earlier batches are gone: only the stored index is left
+        batch = spark.createDataFrame([r for r in rows if r[1] == b], SCHEMA)
+        found += HistoryIndex(spark, path, shards=3).accept(batch).collect()
+    assert sorted(map(tuple, found)) == brute(rows)
+    index = HistoryIndex(spark, path)
+    assert [tuple(map(int, s.split("-")[:3])) for s in index.segments] == [(1, 4, 2), (5, 6, 1)]
+    assert "news_title" not in {c for part in index.PARTS for c in index._read(part).columns}
+
+
+def test_a_merge_that_was_cut_off_changes_nothing(spark, tmp_path):
+    rows = made_history(120, 3)
+    path = str(tmp_path / "index")
+    index = HistoryIndex(spark, path)
+    for b in (1, 2):
+        index.accept(spark.createDataFrame([r for r in rows if r[1] == b], SCHEMA))
+    half = tmp_path / "index" / "000001-000004-2-9"
+    half.mkdir()  # no mark that it is whole
+    got = HistoryIndex(spark, path).accept(spark.createDataFrame([r for r in rows if r[1] == 3], SCHEMA))
+    assert sorted(map(tuple, got.collect())) == [r for r in brute(rows) if r[1] in {x[0] for x in rows if x[1] == 3}]
