@@ -126,10 +126,8 @@ def p10_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English texts of at least 30 pieces between white space that read as band 4."""
-    documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    pieces = F.size(F.filter(F.split("text", r"(?U)\s+"), lambda w: w != ""))
-    asked = documents.filter((F.col("lang") == "en") & (pieces >= 30)).select("doc_id")
-    return p10_levels(spark, sf_dir).filter(F.col("band") == 4).join(asked, "doc_id", "left_semi").select("doc_id")
+    english = table(spark, sf_dir, "documents", "doc_id", "lang").filter(F.col("lang") == "en").select("doc_id")
+    return p10_levels(spark, sf_dir).filter((F.col("band") == 4) & (F.col("n_pieces") >= 30)).join(english, "doc_id", "left_semi").select("doc_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -16,9 +16,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from presswork.operators.skew import HOT_ROWS, join_unique
 from presswork.session import cut
 
 #: Shares of a text's words for which coverage ranks are taken.
@@ -28,8 +30,12 @@ SENTENCES = ("sentence_words", "word_letters", "long_words")
 MEASURES = COVERS + SENTENCES
 #: Letters from which a word counts as long.
 LONG = 10
-#: Most words of the head of the vocabulary that is sent to the workers; beyond it ranks are joined.
+#: Most words of the head of the vocabulary that is sent to the workers (16 bytes each); beyond it ranks are joined.
 HEAD = 200_000
+#: Most labelled texts that the bands are calibrated on.
+MAX_LABELLED = 200_000
+#: Distinct words that a task counts before it hands its counts on, and whose hashes it remembers.
+FLUSH = 500_000
 #: Most that one measure counts against a band, in deviations.
 FARTHEST = 3.0
 #: Least spread of a measure inside a band.
@@ -40,103 +46,140 @@ MAX_BANDS = 100
 _WORD = regex.compile(r"\p{L}+(?:['’-]\p{L}+)*")
 _SENTENCE = regex.compile(r"[.!?।。！？]+(?=\s|$)|\n\s*\n")
 
+PROFILE = (
+    "doc_id bigint, n_words bigint, n_pieces bigint, sentence_words double, word_letters double, long_words double, "
+    "words array<bigint>, uses array<int>, word string, n bigint"
+)
+
 
 def words_in(text: str) -> list[str]:
     """Lower-case words: runs of letters, also joined by apostrophes and hyphens."""
     return _WORD.findall(text.lower())
 
 
-def vocabulary(documents: DataFrame) -> DataFrame:
-    """``word``, ``n`` (uses in all texts), ``rank`` (from 1; equal counts share the first rank) and ``last_rank`` (of the equal ones).
+def word_hash(word: str) -> int:
+    """The hash of a word that Spark's ``xxhash64`` gives."""
+    h = xxhash.xxh64_intdigest(word.encode(), 42)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
 
-    Ranks come from the histogram of counts, so no task sorts the vocabulary.
+def profile(documents: DataFrame) -> DataFrame:
+    """What all later steps need, by one pass over the texts.
+
+    Rows with a ``doc_id`` are texts with words: their number of words and of
+    pieces between white space, the measures of sentences and words, and the
+    distinct words (as hashes) with their uses. Rows without are counts of
+    ``word`` (``n`` uses), one or a few for each word and task.
     """
+    names = [part.split()[0] for part in PROFILE.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.string(), pa.int64()]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                counts.update(words_in(text) if text else ())
-                if len(counts) > 500_000:
-                    yield from _counts(counts)
-                    counts.clear()
-        yield from _counts(counts)
-
-    def _counts(counts: Counter) -> Iterator[pa.RecordBatch]:
+    def batch_of(columns: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    def counts_of(counts: Counter) -> Iterator[pa.RecordBatch]:
         words = list(counts)
         for begin in range(0, len(words), 50_000):
             part = words[begin : begin + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([counts[w] for w in part], pa.int64())], names=["word", "n"])
+            yield batch_of([[None] * len(part)] * 8 + [part, [counts[w] for w in part]])
 
-    counted = documents.select("text").filter(F.col("text").isNotNull()).mapInArrow(count, "word string, n bigint")
-    words = cut(counted.groupBy("word").agg(F.sum("n").alias("n")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        hashes: dict[str, int] = {}
+        for batch in batches:
+            out: list[list] = [[] for _ in names]
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                found = words_in(text) if text else ()
+                if not found:
+                    continue
+                uses = Counter(found)
+                counts.update(uses)
+                for w in uses:
+                    if w not in hashes:
+                        hashes[w] = word_hash(w)
+                letters = np.fromiter(map(len, uses), np.int64, len(uses))
+                weight = np.fromiter(uses.values(), np.int64, len(uses))
+                sentences = sum(1 for part in _SENTENCE.split(text) if part.strip())
+                row = (
+                    doc_id, len(found), len(text.split()), float(np.log(len(found) / max(1, sentences))),
+                    float(np.log((letters * weight).sum() / len(found))), float(weight[letters >= LONG].sum() / len(found)),
+                    [hashes[w] for w in uses], list(uses.values()), None, None,
+                )
+                for column, value in zip(out, row):
+                    column.append(value)
+                if len(hashes) > FLUSH:
+                    hashes.clear()
+            yield batch_of(out)
+            if len(counts) > FLUSH:
+                yield from counts_of(counts)
+                counts.clear()
+        yield from counts_of(counts)
+
+    return documents.select("doc_id", "text").filter(F.col("text").isNotNull()).mapInArrow(run, PROFILE)
+
+
+def vocabulary(profiled: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``word``, ``n`` (uses in all texts), ``rank`` (from 1; equal counts share the first rank) and ``last_rank`` (of the equal ones).
+
+    Ranks come from the histogram of counts, so no task sorts the vocabulary;
+    the words of one count, as those used once, are joined to it in parts.
+    """
+    words = cut(profiled.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n")))
     levels = words.groupBy("n").agg(F.count("*").alias("words"))
     # one row for each distinct count: at most the square root of twice the corpus
     down = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranks = levels.withColumn("last_rank", F.sum("words").over(down)).select("n", "last_rank", (F.col("last_rank") - F.col("words") + 1).alias("rank"))
-    return words.join(ranks, "n").select("word", "n", "rank", "last_rank")
+    ranks = levels.withColumn("last_rank", F.sum("words").over(down)).withColumn("rank", F.col("last_rank") - F.col("words") + 1)
+    return join_unique(words, ranks, ["n"], "words", F.col("word"), hot_rows).select("word", "n", "rank", "last_rank")
 
 
-def coverage(documents: DataFrame, ranked: DataFrame, head: int = HEAD) -> DataFrame:
-    """``doc_id``, ``n_words`` and the measures of each text with words: logarithms of the coverage ranks, of words
-    per sentence and of letters per word, and the share of long words.
+def coverage(profiled: DataFrame, ranked: DataFrame, head: int = HEAD, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``doc_id``, ``n_words``, ``n_pieces`` and the measures of each text with words: logarithms of the coverage ranks, of
+    words per sentence and of letters per word, and the share of long words.
 
     The words ranked up to ``head`` are sent to the workers; a text whose
     coverage needs rarer words gets its ranks by a join.
     """
-    spark = documents.sparkSession
-    top = {r["word"]: r["rank"] for r in ranked.filter(F.col("last_rank") <= head).select("word", "rank").collect()}
-    known = spark.sparkContext.broadcast(top)
+    spark = profiled.sparkSession
+    texts = profiled.filter(F.col("doc_id").isNotNull())
+    top = sorted((word_hash(r["word"]), r["rank"]) for r in ranked.filter(F.col("last_rank") <= head).select("word", "rank").collect())
+    known = spark.sparkContext.broadcast((np.array([h for h, _ in top], np.int64), np.array([r for _, r in top], np.int64)))
     beyond = len(top) + 1
+    kept = ["doc_id", "n_words", "n_pieces", *SENTENCES]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = known.value
+        hashes, ranks = known.value
         for batch in batches:
-            out: list[list] = [[] for _ in names]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                words = words_in(text) if text else ()
-                if not words:
-                    continue
-                found = np.sort(np.fromiter((ranks.get(w, beyond) for w in words), np.int64, len(words)))
-                sentences = sum(1 for part in _SENTENCE.split(text) if part.strip())
-                out[0].append(doc_id)
-                out[1].append(len(words))
-                letters = np.fromiter(map(len, words), np.int64, len(words))
-                out[2].append(float(np.log(len(words) / max(1, sentences))))
-                out[3].append(float(np.log(letters.mean())))
-                out[4].append(float((letters >= LONG).mean()))
-                for k, share in enumerate(SHARES):
-                    rank = int(found[max(0, int(np.ceil(share * len(found))) - 1)])
-                    out[5 + k].append(None if rank == beyond else float(np.log(rank)))
-            kinds = [pa.int64(), pa.int64()] + [pa.float64()] * len(MEASURES)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
-
-    names = ["doc_id", "n_words", *SENTENCES, *COVERS]
-    schema = "doc_id bigint, n_words bigint, " + ", ".join(f"{m} double" for m in (*SENTENCES, *COVERS))
-    measured = documents.select("doc_id", "text").mapInArrow(measure, schema)
+            words, uses = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("words", "uses"))
+            sizes = batch.column("words").value_lengths().to_numpy(zero_copy_only=False)
+            at = np.minimum(np.searchsorted(hashes, words), max(len(hashes) - 1, 0))
+            found = np.where(hashes[at] == words, ranks[at], beyond) if len(hashes) else np.full(len(words), beyond)
+            covers: list[list] = [[] for _ in SHARES]
+            ends = np.cumsum(sizes)
+            for begin, end in zip(ends - sizes, ends):
+                order = np.argsort(found[begin:end], kind="stable")
+                reached = np.cumsum(uses[begin:end][order])
+                for column, share in zip(covers, SHARES):
+                    rank = int(found[begin:end][order[np.searchsorted(reached, max(1, np.ceil(share * reached[-1])))]])
+                    column.append(None if rank == beyond else float(np.log(rank)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(pa.array(c, pa.float64()) for c in covers)], names=[*kept, *COVERS])
+
+    schema = "doc_id bigint, n_words bigint, n_pieces bigint, " + ", ".join(f"{m} double" for m in (*SENTENCES, *COVERS))
+    measured = texts.select(*kept, "words", "uses").mapInArrow(measure, schema)
     if not ranked.filter(F.col("last_rank") > head).limit(1).count():
         return measured
     measured = cut(measured)
     rare = " or ".join(f"{m} is null" for m in COVERS)
-    exact = exact_coverage(documents.join(measured.filter(rare).select("doc_id"), "doc_id", "left_semi"), ranked)
+    exact = exact_coverage(texts.join(measured.filter(rare).select("doc_id"), "doc_id", "left_semi"), ranked, hot_rows)
     both = measured.join(exact, "doc_id", "left")
-    return both.select("doc_id", "n_words", *SENTENCES, *[F.coalesce(m, f"exact_{m}").alias(m) for m in COVERS])
-
+    return both.select(*kept, *[F.coalesce(m, f"exact_{m}").alias(m) for m in COVERS])
 
-def exact_coverage(documents: DataFrame, ranked: DataFrame) -> DataFrame:
-    """``doc_id`` and the coverage measures (as ``exact_...``) by joining each distinct word of a text to its rank."""
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                counts = Counter(words_in(text) if text else ())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc_id] * len(counts), pa.int64()), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                    names=["doc_id", "word", "uses"],
-                )
-
-    uses = documents.select("doc_id", "text").mapInArrow(spread, "doc_id bigint, word string, uses bigint")
-    by_rank = uses.join(ranked.select("word", "rank"), "word").groupBy("doc_id", "rank").agg(F.sum("uses").alias("uses"))
+def exact_coverage(texts: DataFrame, ranked: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``doc_id`` and the coverage measures (as ``exact_...``) by joining each distinct word of a text to its rank; words of
+    many texts are split."""
+    pairs = texts.select("doc_id", F.explode(F.arrays_zip("words", "uses")).alias("w")).select("doc_id", F.col("w.words").alias("hash"), F.col("w.uses").alias("uses"))
+    by_hash = ranked.select(F.xxhash64("word").alias("hash"), "rank", "n").groupBy("hash").agg(F.min("rank").alias("rank"), F.sum("n").alias("n"))
+    by_rank = join_unique(pairs, by_hash, ["hash"], "n", F.col("doc_id"), hot_rows).groupBy("doc_id", "rank").agg(F.sum("uses").alias("uses"))
     up = Window.partitionBy("doc_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = F.sum("uses").over(Window.partitionBy("doc_id"))
     reached = by_rank.select("doc_id", "rank", F.sum("uses").over(up).alias("covered"), total.alias("total"))
@@ -148,9 +191,14 @@ def exact_coverage(documents: DataFrame, ranked: DataFrame) -> DataFrame:
     )
 
 
-def calibrate(measured: DataFrame, labels: DataFrame) -> list[dict]:
-    """For each labelled band the median and the median deviation of each measure, counted in SQL over all labels."""
-    labelled = cut(measured.join(labels.filter(F.col("band").isNotNull()).select("doc_id", "band"), "doc_id"))
+def calibrate(measured: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> list[dict]:
+    """For each labelled band the median and the median deviation of each measure, counted in SQL over about ``most`` labels,
+    chosen by a hash of the text's id (all of them if there are no more)."""
+    given = labels.filter(F.col("band").isNotNull()).select("doc_id", "band")
+    total = given.count()
+    if total > most:
+        given = given.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * most / total))
+    labelled = cut(measured.join(given, "doc_id"))
     middles = labelled.groupBy("band").agg(F.count("*").alias("n"), *[F.percentile(m, 0.5).alias(f"mid_{m}") for m in MEASURES])
     spread = (
         labelled.join(F.broadcast(middles), "band")
@@ -167,14 +215,14 @@ def calibrate(measured: DataFrame, labels: DataFrame) -> list[dict]:
 
 
 def reading_levels(documents: DataFrame, labels: DataFrame, head: int = HEAD) -> DataFrame:
-    """``doc_id``, ``n_words``, the measures and ``band`` of each text; ``band`` is the nearest of the labelled bands.
+    """``doc_id``, ``n_words``, ``n_pieces``, the measures and ``band`` of each text; ``band`` is the nearest of the labelled bands.
 
     Texts without words (null, empty, blank) come out with null measures and
     band; without any labels all bands are null. Equal distances take the
     lower band.
     """
-    ranked = vocabulary(documents)
-    measured = cut(coverage(documents, ranked, head))
+    profiled = cut(profile(documents))
+    measured = cut(coverage(profiled, vocabulary(profiled), head))
     scale = calibrate(measured, labels)
 
     def distance(band: dict):
