@@ -21,8 +21,8 @@ from presswork.session import cut
 
 #: Capacity of a container, in tokens.
 CAPACITY = 2048
-#: Parts in which texts of one length are ranked side by side.
-RANK_PARTS = 64
+#: About how many texts of one length are ranked in one task.
+PART_ROWS = 100_000
 
 
 def pack_histogram(histogram: dict[int, int], capacity: int) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
@@ -119,19 +119,21 @@ def pieces_of(sized: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def ranked(pieces: DataFrame, parts: int = RANK_PARTS) -> DataFrame:
-    """``pieces`` with ``rank`` (from 0) among those of the same size. No size is ranked in one task: ranks inside
-    ``parts`` hashed parts are moved up by what the parts before them hold."""
-    marked = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)).cast("int"))
+def ranked(pieces: DataFrame, histogram: dict[int, int], part_rows: int = PART_ROWS) -> DataFrame:
+    """``pieces`` with ``rank`` (from 0) among those of the same size. No size is ranked in one task: each is split by a hash
+    into parts of about ``part_rows``, and ranks inside a part are moved up by what the parts before it hold."""
+    spark = pieces.sparkSession
+    # one row for each size: at most the capacity
+    parts = spark.createDataFrame([(n, -(-count // part_rows)) for n, count in sorted(histogram.items())] or [(0, 1)], "size int, parts bigint")
+    marked = pieces.join(F.broadcast(parts), "size").withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.col("parts"))).drop("parts")
     inside = marked.withColumn("inner", F.row_number().over(Window.partitionBy("size", "part").orderBy("doc_id", "piece")) - 1)
     before = Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = marked.groupBy("size", "part").agg(F.count("*").alias("n"))
     moved = counts.select("size", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("moved"))
-    # at most capacity x parts rows, 16 bytes each
-    return inside.join(F.broadcast(moved), ["size", "part"]).withColumn("rank", F.col("inner") + F.col("moved")).drop("part", "inner", "moved")
+    return inside.join(moved, ["size", "part"]).withColumn("rank", F.col("inner") + F.col("moved")).drop("part", "inner", "moved")
 
 
-def fill_containers(sized: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def fill_containers(sized: DataFrame, capacity: int = CAPACITY, part_rows: int = PART_ROWS) -> DataFrame:
     """``doc_id``, ``piece``, ``start`` (of the piece in the text), ``size``, ``container_id``, ``position`` (in the container).
 
     ``sized`` has ``doc_id`` and ``n_tokens``. A text of no tokens takes no
@@ -153,7 +155,7 @@ def fill_containers(sized: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     names = ["doc_id", "piece", "start", "size", "container_id", "position"]
     schema = "doc_id bigint, piece int, start bigint, size int, container_id bigint, position bigint"
-    placed = ranked(filled).select("doc_id", "piece", "start", "size", F.col("rank").cast("bigint").alias("rank")).mapInArrow(place, schema)
+    placed = ranked(filled, histogram, part_rows).select("doc_id", "piece", "start", "size", F.col("rank").cast("bigint").alias("rank")).mapInArrow(place, schema)
     empty = pieces.filter("size <= 0").select(
         "doc_id", "piece", "start", "size", F.lit(None).cast("bigint").alias("container_id"), F.lit(None).cast("bigint").alias("position")
     )

@@ -5,10 +5,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from presswork.llm.packing import Slots, fill_containers, pack_histogram
-from presswork.llm.reading import reading_levels, vocabulary
+from presswork.llm.reading import calibrate, profile, reading_levels, vocabulary, word_hash
 from presswork.llm.tokens import MergeAutomaton, count_tokens, encode_texts, load_automaton, round_trips, vocabulary_path
 
 DOCS = "doc_id bigint, text string, ids string, n_tokens int"
@@ -116,13 +117,15 @@ def test_fill_containers(spark):
     best = full + sizes.count(9) + sizes.count(7) + -(-(sizes.count(3) - sizes.count(7)) // 3)
     assert len(use) <= best + 1
     again = fill_containers(df.repartition(3), 10)
+    split = fill_containers(df, 10, part_rows=7).collect()
+    assert len({r["container_id"] for r in split}) == len({r["container_id"] for r in got}) and len(split) == len(got)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, got))
     assert fill_containers(df.limit(0), 10).count() == 0
 
 
 def test_vocabulary_ranks(spark):
     df = spark.createDataFrame([(1, "a a a b b c C d"), (2, None), (3, ""), (4, "12 !")], "doc_id bigint, text string")
-    got = {r["word"]: (r["n"], r["rank"], r["last_rank"]) for r in vocabulary(df).collect()}
+    got = {r["word"]: (r["n"], r["rank"], r["last_rank"]) for r in vocabulary(profile(df), hot_rows=2).collect()}
     assert got == {"a": (3, 1, 1), "b": (2, 2, 3), "c": (2, 2, 3), "d": (1, 4, 4)}
 
 
@@ -150,3 +153,18 @@ def test_levels_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint, band int")
     assert {r["doc_id"]: r["band"] for r in reading_levels(df, none).collect()} == {1: None, 2: None}
     assert reading_levels(df.limit(0), none).count() == 0
+
+
+def test_word_hash_is_that_of_the_engine(spark):
+    words = ["a", "plural", "été", "मार्च", "don't"]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w")).collect()
+    assert [r[0] for r in got] == [word_hash(w) for w in words]
+
+
+def test_calibration_takes_a_bounded_sample_of_labels(spark):
+    from presswork.llm.reading import MEASURES
+
+    rows = [(i, i % 3, *[float(i % 3)] * len(MEASURES)) for i in range(3000)]
+    measured = spark.createDataFrame(rows, "doc_id bigint, band int, " + ", ".join(f"{m} double" for m in MEASURES))
+    scale = calibrate(measured.drop("band"), measured.select("doc_id", "band"), most=300)
+    assert [(b["band"], b["mid_cover_50"]) for b in scale] == [(0, 0.0), (1, 1.0), (2, 2.0)]
