@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presswork.operators.skew import HOT_ROWS, join_unique
@@ -27,8 +27,8 @@ WORDS, LIKENESS = 5, 0.8
 ROWS, BANDS = 6, 50
 #: One-bit coordinates of the signature.
 BITS = 256
-#: Id sets up to this many rows (8 bytes each) are broadcast; larger ones are shuffled.
-BROADCAST_IDS = 2_000_000
+#: Rows of one band, or copies of one text, beyond which their pairs are found in several tasks.
+BLOCK = 5_000
 
 
 def hashed_words(text: Column) -> Column:
@@ -116,16 +116,26 @@ def bits_alike(least: float, bits: int = BITS) -> int:
     return int(bits * share - 6.5 * (bits * share * (1 - share)) ** 0.5)
 
 
-def _only(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Semi- or anti-join on ``article_id``: by broadcast if the ids are few, else by shuffle."""
-    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "article_id", how)
+def _pairs_by(rows: DataFrame, key: str, columns: tuple[str, ...], block: int) -> DataFrame:
+    """Pairs of rows of one ``key``: ``columns`` as ``..._a`` and ``..._b``, with ``rep_a`` < ``rep_b``.
+
+    ``n`` is the number of rows of the key. Keys of more than ``block`` rows
+    are split: one side into parts of about that size, to each of which the
+    other side is sent.
+    """
+    parts = F.ceil(F.col("n") / block).cast("int")
+    many = rows.filter(F.col("n") > 1)
+    left = many.withColumn("part", F.pmod(F.xxhash64("rep"), parts).cast("int")).select(key, "part", *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = many.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select(key, "part", *[F.col(c).alias(f"{c}_b") for c in columns])
+    return left.join(right, [key, "part"]).filter(F.col("rep_a") < F.col("rep_b")).drop("part")
 
 
 def equal_texts(texts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``rep``, ``article_id`` of all texts that occur more than once (the smallest id stands for all)."""
+    """``rep``, ``article_id``, ``n`` of all texts that occur more than once (``n`` times; the smallest id stands for all)."""
     keyed = texts.select("article_id", F.xxhash64("kind", "text").alias("k1"), F.hash("text", F.length("text")).alias("k2"))
     classes = keyed.groupBy("k1", "k2").agg(F.min("article_id").alias("rep"), F.count("*").alias("n")).filter(F.col("n") > 1)
-    return join_unique(keyed, classes, ["k1", "k2"], "n", F.col("article_id"), hot_rows).select("rep", "article_id")
+    classes = classes.withColumn("weight", F.col("n"))
+    return join_unique(keyed, classes, ["k1", "k2"], "weight", F.col("article_id"), hot_rows).select("rep", "article_id", "n")
 
 
 def sketches(texts: DataFrame, words: int, rows: int, bands: int) -> DataFrame:
@@ -159,13 +169,11 @@ def sketches(texts: DataFrame, words: int, rows: int, bands: int) -> DataFrame:
     return tokenised.mapInArrow(run, "rep bigint, size int, bits array<bigint>, bands array<bigint>")
 
 
-def candidate_pairs(sketched: DataFrame, least: float) -> DataFrame:
+def candidate_pairs(sketched: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
     """``a``, ``b``: pairs that share a band, whose sizes allow the likeness and whose signatures are near it."""
-    banded = sketched.select(F.col("rep"), F.col("size"), F.explode("bands").alias("band"))
-    left = banded.select("band", F.col("rep").alias("a"), F.col("size").alias("size_a"))
-    right = banded.select("band", F.col("rep").alias("b"), F.col("size").alias("size_b"))
-    fits = (F.col("a") < F.col("b")) & (F.least("size_a", "size_b") >= F.lit(least) * F.greatest("size_a", "size_b") - 1e-6)
-    pairs = left.join(right, "band").filter(fits).select("a", "b").distinct()
+    banded = sketched.select("rep", "size", F.explode("bands").alias("band")).withColumn("n", F.count("*").over(Window.partitionBy("band")))
+    fits = F.least("size_a", "size_b") >= F.lit(least) * F.greatest("size_a", "size_b") - 1e-6
+    pairs = _pairs_by(banded, "band", ("rep", "size"), block).filter(fits).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     signed = sketched.select("rep", "bits")
     joined = pairs.join(signed.select(F.col("rep").alias("a"), F.col("bits").alias("bits_a")), "a").join(
         signed.select(F.col("rep").alias("b"), F.col("bits").alias("bits_b")), "b"
@@ -181,7 +189,13 @@ def candidate_pairs(sketched: DataFrame, least: float) -> DataFrame:
 
 
 def near_duplicate_classes(
-    texts: DataFrame, least: float = LIKENESS, words: int = WORDS, rows: int = ROWS, bands: int = BANDS, hot_rows: int = HOT_ROWS
+    texts: DataFrame,
+    least: float = LIKENESS,
+    words: int = WORDS,
+    rows: int = ROWS,
+    bands: int = BANDS,
+    hot_rows: int = HOT_ROWS,
+    block: int = BLOCK,
 ) -> tuple[DataFrame, DataFrame]:
     """Links between different texts (``a``, ``b``, ``likeness``), and membership of equal ones (``rep``, ``article_id``).
 
@@ -192,11 +206,11 @@ def near_duplicate_classes(
     texts = texts.select("article_id", "kind", "text").filter(F.col("text").isNotNull())
     members = cut(equal_texts(texts, hot_rows))
     copies = members.filter(F.col("rep") != F.col("article_id")).select("article_id")
-    distinct = _only(texts, copies, "left_anti")
+    distinct = texts.join(copies, "article_id", "left_anti")
     sketched = cut(sketches(distinct, words, rows, bands))
-    pairs = cut(candidate_pairs(sketched, least))
+    pairs = cut(candidate_pairs(sketched, least, block))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("article_id")).distinct()
-    tokens = _only(distinct, wanted, "left_semi").select("article_id", hashed_words(F.col("text")).alias("tokens"))
+    tokens = distinct.join(wanted, "article_id", "left_semi").select("article_id", hashed_words(F.col("text")).alias("tokens"))
     sets = tokens.select("article_id", word_sequences(F.col("tokens"), words).alias("s"))
     both = F.size(F.array_intersect("sa", "sb"))
     links = (
@@ -220,7 +234,8 @@ def near_duplicate_pairs(texts: DataFrame, **settings) -> DataFrame:
     worded = members.join(
         texts.filter(F.col("text").rlike(r"[\p{L}\p{N}]")).select(F.col("article_id")), "article_id", "left_semi"
     )
-    equal = worded.select("rep", F.col("article_id").alias("x")).join(worded.select("rep", F.col("article_id").alias("y")), "rep").filter("x < y")
+    copies = worded.select(F.col("rep").alias("key"), F.col("article_id").alias("rep"), "n")
+    equal = _pairs_by(copies, "key", ("rep",), settings.get("block", BLOCK)).select(F.col("rep_a").alias("x"), F.col("rep_b").alias("y"))
     return different.unionAll(equal.select("x", "y")).select(F.least("x", "y").alias("article_a"), F.greatest("x", "y").alias("article_b"))
 
 
@@ -228,6 +243,7 @@ def near_duplicate_report(texts: DataFrame, **settings) -> DataFrame:
     """``article_id``, ``class_id``, ``links``: one row per text with its class of equal texts and the number of
     different texts (classes) that are at least so alike."""
     links, members = near_duplicate_classes(texts, **settings)
+    members = members.drop("n")
     degree = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
     rows = texts.filter(F.col("text").isNotNull()).select("article_id").join(members, "article_id", "left")
     return (

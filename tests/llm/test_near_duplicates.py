@@ -41,7 +41,7 @@ def rows():
 
 
 def test_pairs_against_brute_force(spark, rows):
-    got = near_duplicate_pairs(spark.createDataFrame(rows, SCHEMA), least=0.7, words=3, hot_rows=20)
+    got = near_duplicate_pairs(spark.createDataFrame(rows, SCHEMA), least=0.7, words=3, hot_rows=20, block=4)
     found, wanted = sorted(map(tuple, got.collect())), brute(rows, 3, 0.7)
     assert len(set(found)) == len(found)
     assert set(found) <= set(wanted)
