@@ -13,20 +13,24 @@ by comparing only inside cells.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.operators.packed import segment
 from presswork.operators.skew import HOT_ROWS, join_unique
 
-#: A dictionary of more official names than this is refused: its forms go to every worker.
-MAX_NAMES = 20_000
-#: Number of pivots of the metric partition.
-PIVOTS = 24
+#: A dictionary of more official names than this is refused: its words and forms go to every worker (about 1 kB a name).
+MAX_NAMES = 200_000
+#: Least and most pivots of the metric partition; in between they grow with the square root of the forms.
+PIVOTS, MOST_PIVOTS = 24, 128
+#: Forms among which pivots are chosen.
+PIVOT_SAMPLE = 4_000
 #: Largest radius of a link, in edits.
 RADIUS = 4
 
@@ -47,6 +51,22 @@ def levenshtein(a: str, b: str) -> int:
     return row[-1]
 
 
+def distances(texts: list[str], pivot: str) -> np.ndarray:
+    """Edit distance of each text to ``pivot``, for all texts at once."""
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    width = max(1, int(size.max(initial=0)))
+    codes = np.array(texts, f"U{width}").view(np.uint32).reshape(len(texts), width).T.copy()
+    row = [np.full(len(texts), j, np.int16) for j in range(len(pivot) + 1)]
+    out = row[-1].copy()
+    for i in range(1, width + 1):
+        diagonal, row[0] = row[0], np.full(len(texts), i, np.int16)
+        for j, c in enumerate(pivot, 1):
+            least = np.minimum(np.minimum(row[j], row[j - 1]) + 1, diagonal + (codes[i - 1] != ord(c)))
+            diagonal, row[j] = row[j], least.astype(np.int16)
+        out = np.where(size == i, row[-1], out)
+    return out
+
+
 def typing_errors(a: str, b: str) -> int:
     """Edit distance in which two swapped neighbours count once. No metric: only for the exact check of a link."""
     last, row = [], list(range(len(b) + 1))
@@ -92,6 +112,9 @@ class NameForms:
         first = Counter(core[0] for core in cores.values() if core)
         self.vocabulary = sorted({w for core in cores.values() for w in core[1:]})
         self.known_words = frozenset(self.vocabulary) | frozenset(first)
+        self._by_letter: dict[str, list[str]] = defaultdict(list)
+        for w in self.vocabulary:
+            self._by_letter[w[0]].append(w)
         self._expanded: dict[str, str] = {}
         made: dict[str, set[str]] = defaultdict(set)
         whole: set[str] = set()
@@ -131,7 +154,7 @@ class NameForms:
         """The vocabulary word that ``word`` abbreviates, if any; the closest in length where several fit."""
         found = self._expanded.get(word)
         if found is None:
-            fits = [] if word in self.known_words else [w for w in self.vocabulary if abbreviates(word, w)]
+            fits = [] if word in self.known_words else [w for w in self._by_letter.get(word[0], ()) if abbreviates(word, w)]
             found = min(fits, key=lambda w: (len(w), w)) if fits else word
             if len(self._expanded) < 200_000:
                 self._expanded[word] = found
@@ -174,27 +197,31 @@ def errors_allowed(form: str, radius: int) -> int:
     return min(radius, 1) if radius <= 2 else radius
 
 
-def choose_pivots(forms: list[str], count: int = PIVOTS) -> list[str]:
-    """Pivots that lie far apart: each next one is the form farthest from those chosen."""
+def pivots_for(forms: int) -> int:
+    """How many pivots so many forms take."""
+    return min(MOST_PIVOTS, max(PIVOTS, int(forms**0.5 / 2)))
+
+
+def choose_pivots(forms: list[str], count: int | None = None) -> list[str]:
+    """Pivots that lie far apart: each next one is the form farthest from those chosen, among a sample by hash."""
     if not forms:
         return []
-    pivots = [max(sorted(forms), key=len)]
-    near = {f: levenshtein(f, pivots[0]) for f in forms}
-    while len(pivots) < min(count, len(forms)):
-        pivots.append(max(sorted(forms), key=lambda f: near[f]))
-        for f in forms:
-            near[f] = min(near[f], levenshtein(f, pivots[-1]))
+    count = pivots_for(len(forms)) if count is None else count
+    sample = sorted(sorted(forms, key=lambda f: zlib.crc32(f.encode()))[:PIVOT_SAMPLE])
+    pivots = [max(sample, key=len)]
+    near = distances(sample, pivots[0])
+    while len(pivots) < min(count, len(sample)):
+        pivots.append(sample[int(near.argmax())])
+        near = np.minimum(near, distances(sample, pivots[-1]))
     return pivots
 
 
-def cells_of_forms(names: NameForms, pivots: list[str]) -> list[tuple[int, str, int, int, list[str]]]:
-    """``(cell, form, distance to its pivot, radius, official names)``, boundary forms repeated."""
-    rows = []
-    for form, officials in names.forms.items():
-        distances = [levenshtein(form, p) for p in pivots]
-        reach = min(distances) + 2 * names.radius[form]
-        rows += [(cell, form, d, names.radius[form], officials) for cell, d in enumerate(distances) if d <= reach]
-    return rows
+def cells_of_forms(forms: list[str], radius: np.ndarray, pivots: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Form, cell and distance to the cell's pivot; boundary forms are repeated in every cell that a spelling within their
+    radius can be at home in."""
+    table = np.array([distances(forms, p) for p in pivots]).reshape(len(pivots), len(forms))
+    cell, form = np.nonzero(table <= table.min(0, initial=1 << 14) + 2 * radius)
+    return form, cell, table[cell, form]
 
 
 def read_officials(competitors: DataFrame) -> list[tuple[str, list[str]]]:
@@ -213,41 +240,53 @@ def link_spellings(spark: SparkSession, spellings: DataFrame, officials: list[tu
     """
     names = NameForms(officials)
     pivots = choose_pivots(sorted(names.forms))
-    known = spark.createDataFrame(
-        cells_of_forms(names, pivots), "cell int, form string, form_distance int, radius int, officials array<string>"
+    longest = max(map(len, names.forms), default=0) + RADIUS
+    # little data but much work for each spelling: spread over all tasks, whatever their size
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    salts = -(-tasks // max(1, len(pivots)))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            radius = batch.column("radius").to_numpy()
+            form, cell, distance = cells_of_forms(batch.column("form").to_pylist(), radius, pivots)
+            kept = [batch.column(c).take(pa.array(form)) for c in ("form", "radius", "officials")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cell.astype(np.int32)), pa.array(distance.astype(np.int32)), *kept], names=["cell", "form_distance", "form", "radius", "officials"]
+            )
+
+    rows = [(form, names.radius[form], officials) for form, officials in names.forms.items()]
+    known = (
+        spark.createDataFrame(rows, "form string, radius int, officials array<string>")
+        .mapInArrow(place, "cell int, form_distance int, form string, radius int, officials array<string>")
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
 
     def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             take, out = [], []
             for row, spelling in enumerate(batch.column("spelling").to_pylist()):
-                found = names.lookups(spelling)
+                # a longer form is within no radius
+                found = sorted(f for f in names.lookups(spelling) if len(f) <= longest)
                 take.extend([row] * len(found))
-                out.extend(sorted(found))
+                out.extend(found)
+            table = np.array([distances(out, p) for p in pivots]).reshape(len(pivots), len(out))
+            cell = table.argmin(0) if len(pivots) else np.zeros(len(out), np.int64)
+            near = table[cell, np.arange(len(out))] if len(pivots) else cell
             at = pa.array(take, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("spelling").take(at), batch.column("n").take(at), pa.array(out, pa.string())], names=["spelling", "n", "typed"]
+                [batch.column("spelling").take(at), batch.column("n").take(at), pa.array(out, pa.string()), pa.array(cell.astype(np.int32)), pa.array(near.astype(np.int32))],
+                names=["spelling", "n", "typed", "cell", "typed_distance"],
             )
 
-    def nearest(typed: Column) -> Column:
-        if not pivots:
-            return F.lit(None).cast("struct<d:int,cell:int>")
-        return F.array_min(
-            F.array(*[F.struct(F.levenshtein(typed, F.lit(p)).alias("d"), F.lit(i).alias("cell")) for i, p in enumerate(pivots)])
-        )
-
-    # few bytes but much work for each spelling: spread over all tasks, whatever their size
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     typed = (
         spellings.select("spelling", F.col("n").cast("bigint").alias("n"))
         .repartition(tasks, F.xxhash64("spelling"))
-        .mapInArrow(forms, "spelling string, n bigint, typed string")
-        .withColumn("home", nearest(F.col("typed")))
-        .select("spelling", "n", "typed", F.col("home.cell").alias("cell"), F.col("home.d").alias("typed_distance"))
+        .mapInArrow(forms, "spelling string, n bigint, typed string, cell int, typed_distance int")
+        .withColumn("salt", F.pmod(F.hash("typed", "spelling"), F.lit(salts)))
     )
     edits = F.levenshtein(F.col("typed"), F.col("form"), RADIUS)
     linked = (
-        typed.join(known, "cell")
+        typed.join(known, ["cell", "salt"])
         .filter(F.abs(F.col("typed_distance") - F.col("form_distance")) <= F.col("radius"))
         .filter(F.abs(F.length("typed") - F.length("form")) <= F.col("radius"))
         .withColumn("edits", edits)

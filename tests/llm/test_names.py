@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from presswork.llm.names import NameForms, cells_of_forms, choose_pivots, levenshtein, link_spellings, spelled_names, typing_errors
+from presswork.llm.names import NameForms, cells_of_forms, choose_pivots, distances, levenshtein, link_spellings, pivots_for, spelled_names, typing_errors
 
 FIRMS = [
     ("Surgevolt Power Transmission Limited", ["Surgevolt", "SurgPower"]),
@@ -49,8 +50,9 @@ def test_link(spark, typed, meant):
 def test_no_pair_within_the_radius_is_lost_between_cells():
     rng = random.Random(9)
     names = NameForms(FIRMS)
-    pivots = choose_pivots(sorted(names.forms), 6)
-    cells = {(cell, form) for cell, form, *_ in cells_of_forms(names, pivots)}
+    pivots, forms = choose_pivots(sorted(names.forms), 6), sorted(names.forms)
+    form, cell, _ = cells_of_forms(forms, np.array([names.radius[f] for f in forms]), pivots)
+    cells = {(c, forms[f]) for f, c in zip(form.tolist(), cell.tolist())}
     for form, radius in names.radius.items():
         for _ in range(20):
             typed = list(form)
@@ -63,7 +65,29 @@ def test_no_pair_within_the_radius_is_lost_between_cells():
                 assert (home, form) in cells
 
 
+def test_no_edited_name_of_a_large_dictionary_is_lost(spark):
+    rng = random.Random(12)
+    syllables = [a + b for a in "bdfgklmnprstv" for b in ("a", "e", "io", "u")]
+    made = lambda n: "".join(rng.choice(syllables) for _ in range(n)).capitalize()
+    firms = [(f"{made(4)} {made(3)} {made(3)} Limited", []) for _ in range(3000)]
+    typed = []
+    for name, _ in rng.sample(firms, 300):
+        at = rng.randrange(1, len(name) - 9)
+        typed.append((name[:at] + rng.choice(["", "x", name[at] * 2]) + name[at + 1 :], 1))
+    found = {r["spelling"]: r["competitors"] for r in link_spellings(spark, spark.createDataFrame(typed, "spelling string, n bigint"), firms).collect()}
+    names = NameForms(firms)
+    assert pivots_for(len(names.forms)) > 24
+    official = {form: owners for form, owners in names.forms.items()}
+    for spelling, _ in typed:
+        form = names.squeeze(spelling)
+        near = {o for f in official if abs(len(f) - len(form)) <= 1 and levenshtein(f, form) <= 1 for o in official[f]}
+        assert near and near <= set(found.get(spelling, ())), spelling
+
+
 def test_distances():
+    texts = ["power", "", "poewr", "p", "powers and more"]
+    assert distances(texts, "power").tolist() == [levenshtein(t, "power") for t in texts]
+    assert distances([], "x").tolist() == [] and distances(["ab"], "").tolist() == [2]
     assert levenshtein("power", "poewr") == 2 and typing_errors("power", "poewr") == 1
     assert levenshtein("", "abc") == typing_errors("abc", "") == 3
     assert typing_errors("paper", "power") == 2
