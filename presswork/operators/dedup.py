@@ -10,6 +10,8 @@ along chains of matches inside each connected component.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +23,6 @@ from presswork.operators.events import match_pairs
 from presswork.operators.pairs import WINDOW, days_apart, tagged_pairs, window_pairs
 from presswork.session import cut
 
-#: Rounds after which a chain of decisions counts as endless.
-MAX_ROUNDS = 1_000
-
 
 def first_titles(rows: DataFrame, pos: str = "pos", title: str = "news_title") -> DataFrame:
     """``pos`` of the first row of each title (stripped, case ignored). Null titles are equal to each other."""
@@ -38,30 +37,30 @@ def first_independent(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     undecided edges shrink until none is left.
     """
     open_ = cut(edges.select("pos_i", "pos_j").distinct())
-    dropped = None
-    for _ in range(MAX_ROUNDS):
-        if not open_.limit(1).count():
-            break
-        # heads: endpoints that no open edge reaches from a smaller row
-        heads = cut(open_.select("pos_i").distinct().join(open_.select(F.col("pos_j").alias("pos_i")).distinct(), "pos_i", "left_anti"))
+    dropped: list[DataFrame] = []
+    while not open_.isEmpty():
+        # heads: endpoints that no open edge reaches from a smaller row; each round decides at least the smallest open row
+        heads = open_.select("pos_i").distinct().join(open_.select(F.col("pos_j").alias("pos_i")).distinct(), "pos_i", "left_anti")
         gone = cut(open_.join(heads, "pos_i", "left_semi").select(F.col("pos_j").alias("pos")).distinct())
-        dropped = gone if dropped is None else cut(dropped.unionAll(gone))
-        rest = open_.join(heads, "pos_i", "left_anti").join(gone.select(F.col("pos").alias("pos_j")), "pos_j", "left_anti")
+        dropped.append(gone)
+        # a head's edges all lead to rows that are gone now
+        rest = open_.join(gone.select(F.col("pos").alias("pos_j")), "pos_j", "left_anti")
         open_ = cut(rest.join(gone.select(F.col("pos").alias("pos_i")), "pos_i", "left_anti").select("pos_i", "pos_j"))
-    else:
-        raise RuntimeError("the scan did not settle")
-    return vertices.select("pos") if dropped is None else vertices.select("pos").join(dropped, "pos", "left_anti")
+    rows = vertices.select("pos")
+    return rows.join(reduce(DataFrame.unionAll, dropped), "pos", "left_anti") if dropped else rows
 
 
-def title_matches(rows: DataFrame, ratio: float | None = 0.85, window: int = WINDOW) -> DataFrame:
+def title_matches(rows: DataFrame, ratio: float | None = 0.85, window: int = WINDOW, rules: bool = True) -> DataFrame:
     """``pos_i``, ``pos_j`` of rows in one window that tell the same story.
 
     At most 3 days apart, and more than ``ratio`` alike in their titles, or
     with the same names and similar numbers within 1 day, or the same names
     and core words within 2 days. ``rows`` has ``pos``, ``news_title``,
     ``names`` (as one text) and ``published_date``. Features are made once per
-    row; cheap bounds go before the exact ratio; ``ratio=None`` leaves the
-    ratio out. A null date passes the 3 days but none of the shorter spans.
+    row. The rules on names join rows of equal names only; for the ratio only
+    lengths and letters go into the windows, and cheap bounds go before it.
+    ``ratio=None`` leaves the ratio out, ``rules=False`` the rules on names. A
+    null date passes the 3 days but none of the shorter spans.
     """
     low = F.lower(F.coalesce("news_title", F.lit("none")))
     featured = cut(
@@ -76,32 +75,30 @@ def title_matches(rows: DataFrame, ratio: float | None = 0.85, window: int = WIN
             F.col("published_date").alias("date"),
         )
     )
-    slim = window_pairs(featured, window=window, columns=("length", "letters", "numbers", "words", "names", "date"))
-    near = slim.withColumn("days", days_apart(F.col("date_i"), F.col("date_j"))).filter(F.col("days").isNull() | (F.col("days") <= 3))
-    same_names = (F.col("names_i") == F.col("names_j")) & ~F.col("names_i").isin("", "-")
-    by_rule = F.coalesce(
-        same_names
-        & (
-            (similar_numbers(F.col("numbers_i"), F.col("numbers_j")) & (F.col("days") <= 1))
-            | (core_match(F.col("words_i"), F.col("words_j")) & (F.col("days") <= 2))
-        ),
-        F.lit(False),
-    )
-    ruled = near.withColumn("by_rule", by_rule)
-    if ratio is None:
-        return ruled.filter("by_rule").select("pos_i", "pos_j")
-    able = 2 * F.least("length_i", "length_j") / F.greatest(F.col("length_i") + F.col("length_j"), F.lit(1)) > ratio
-    able = able & (letters_bound(F.col("letters_i"), F.col("letters_j"), F.col("length_i"), F.col("length_j")) > ratio)
-    decided = cut(ruled.withColumn("able", able).filter("by_rule or able").select("pos_i", "pos_j", "by_rule"))
-    titles = featured.select("pos", "title")
-    asked = (
-        decided.filter("not by_rule")
-        .join(titles.select(F.col("pos").alias("pos_i"), F.col("title").alias("title_i")), "pos_i")
-        .join(titles.select(F.col("pos").alias("pos_j"), F.col("title").alias("title_j")), "pos_j")
-        .filter(ratio_bound(F.col("title_i"), F.col("title_j")) > ratio)
-        .filter(sequence_ratio(F.col("title_i"), F.col("title_j")) > ratio)
-    )
-    return decided.filter("by_rule").select("pos_i", "pos_j").unionAll(asked.select("pos_i", "pos_j"))
+    found = []
+    if rules:
+        named = featured.filter(~F.col("names").isin("", "-"))
+        beside = window_pairs(named, window=window, columns=("numbers", "words", "date"), same=("names",))
+        beside = beside.withColumn("days", days_apart(F.col("date_i"), F.col("date_j")))
+        by_rule = (similar_numbers(F.col("numbers_i"), F.col("numbers_j")) & (F.col("days") <= 1)) | (
+            core_match(F.col("words_i"), F.col("words_j")) & (F.col("days") <= 2)
+        )
+        found.append(beside.filter(by_rule).select("pos_i", "pos_j"))
+    if ratio is not None:
+        near = window_pairs(featured, window=window, columns=("length", "letters", "date"))
+        near = near.filter(F.coalesce(days_apart(F.col("date_i"), F.col("date_j")), F.lit(0)) <= 3)
+        near = near.filter(2 * F.least("length_i", "length_j") / F.greatest(F.col("length_i") + F.col("length_j"), F.lit(1)) > ratio)
+        able = near.filter(letters_bound(F.col("letters_i"), F.col("letters_j"), F.col("length_i"), F.col("length_j")) > ratio)
+        titles = featured.select("pos", "title")
+        asked = (
+            able.select("pos_i", "pos_j")
+            .join(titles.select(F.col("pos").alias("pos_i"), F.col("title").alias("title_i")), "pos_i")
+            .join(titles.select(F.col("pos").alias("pos_j"), F.col("title").alias("title_j")), "pos_j")
+            .filter(ratio_bound(F.col("title_i"), F.col("title_j")) > ratio)
+            .filter(sequence_ratio(F.col("title_i"), F.col("title_j")) > ratio)
+        )
+        found.append(asked.select("pos_i", "pos_j"))
+    return reduce(DataFrame.unionAll, found).distinct()
 
 
 def title_dedup(rows: DataFrame, ratio: float | None = 0.85, window: int = WINDOW) -> DataFrame:
@@ -122,7 +119,7 @@ def components(edges: DataFrame) -> DataFrame:
     """``pos``, ``component`` (smallest position) of all endpoints, by alternating large-star and small-star steps."""
     stars = cut(edges.select(F.least("pos_i", "pos_j").alias("a"), F.greatest("pos_i", "pos_j").alias("b")).filter("a <> b").distinct())
     before = None
-    for _ in range(MAX_ROUNDS):
+    while True:  # the two steps make progress until every component is one star
         both = stars.unionAll(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # large star: larger neighbours go to the smallest neighbour
@@ -135,8 +132,6 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
-    else:
-        raise RuntimeError("the components did not settle")
     return stars.select(F.col("b").alias("pos"), F.col("a").alias("component")).unionAll(
         stars.select(F.col("a").alias("pos"), F.col("a").alias("component")).distinct()
     )
@@ -155,6 +150,17 @@ def replay(edges: list[tuple[int, int, int, float, float]]) -> set[int]:
     return dropped
 
 
+def event_matches(rows: DataFrame, days: int = 3) -> DataFrame:
+    """``pos_i``, ``pos_j``, ``group_rank``, ``score_i``, ``score_j`` of rows of one tag and category, at most ``days`` apart,
+    that tell of the same event. ``rows`` as in ``event_dedup``."""
+    pairs = tagged_pairs(rows, F.col("tags"), F.col("category_tag"), "pos", "published_date", days)
+    facts = rows.select("pos", "facts", F.coalesce(F.nanvl(F.col("score").cast("double"), F.lit(0.0)), F.lit(0.0)).alias("score"), "category_tag")
+    joined = pairs.join(
+        facts.select(F.col("pos").alias("pos_i"), F.col("facts").alias("facts_i"), F.col("score").alias("score_i"), F.col("category_tag").alias("category")), "pos_i"
+    ).join(facts.select(F.col("pos").alias("pos_j"), F.col("facts").alias("facts_j"), F.col("score").alias("score_j")), "pos_j")
+    return match_pairs(joined.select("pos_i", "pos_j", "group_rank", "score_i", "score_j", "category", "facts_i", "facts_j")).drop("category")
+
+
 def event_dedup(rows: DataFrame, days: int = 3) -> DataFrame:
     """``pos`` of the rows that survive the comparison of events within groups.
 
@@ -164,12 +170,7 @@ def event_dedup(rows: DataFrame, days: int = 3) -> DataFrame:
     matches is replayed as one unit, and matches join only reports of the same
     event.
     """
-    pairs = tagged_pairs(rows, F.col("tags"), F.col("category_tag"), "pos", "published_date", days)
-    facts = rows.select("pos", "facts", F.coalesce(F.nanvl(F.col("score").cast("double"), F.lit(0.0)), F.lit(0.0)).alias("score"), "category_tag")
-    joined = pairs.join(
-        facts.select(F.col("pos").alias("pos_i"), F.col("facts").alias("facts_i"), F.col("score").alias("score_i"), F.col("category_tag").alias("category")), "pos_i"
-    ).join(facts.select(F.col("pos").alias("pos_j"), F.col("facts").alias("facts_j"), F.col("score").alias("score_j")), "pos_j")
-    matched = cut(match_pairs(joined.select("pos_i", "pos_j", "group_rank", "score_i", "score_j", "category", "facts_i", "facts_j")))
+    matched = cut(event_matches(rows, days))
     owned = matched.join(components(matched).select(F.col("pos").alias("pos_i"), "component"), "pos_i")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:

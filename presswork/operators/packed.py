@@ -13,10 +13,10 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A dictionary above this many values is refused: it is sent to every worker.
+#: Values of a dictionary that are sent to every worker; a larger one is joined to the fields.
 MAX_DICTIONARY = 200_000
 #: What separates values. A slash does so only between spaces.
 SEPARATORS = ",;|•、，；｜\t\r\n"
@@ -25,6 +25,9 @@ QUOTES = {'"': '"', "“": "”", "„": "”", "«": "»"}
 BRACKETS = {"[": "]", "{": "}", "(": ")"}
 
 _SLASH = re.compile(r"(?<!\S)/(?!\S)")
+#: The same as patterns of the engine, and what may stand around a piece.
+_BREAK = r"[,;|•、，；｜\t\r\n]|(?<!\S)/(?!\S)"
+_EDGE = r"(?U)^[\s\"“„«\[{(]+|[\s\"”»\]})]+$"
 _FIRST = re.compile(r"[,;|•、，；｜\t\r\n\"“„«\[{(]|(?<!\S)/(?!\S)")
 
 
@@ -132,29 +135,45 @@ def segment(text: str | None, automaton=None) -> list[str]:
     return pieces
 
 
-def known_values(spark: SparkSession, *dictionaries: DataFrame) -> tuple[str, ...]:
-    """The distinct known values of one-column dictionaries, refused beyond ``MAX_DICTIONARY``."""
-    values: set[str] = set()
-    for dictionary in dictionaries:
-        found = dictionary.limit(MAX_DICTIONARY + 1).collect()
-        values |= {r[0].strip() for r in found if r[0]}
-        if len(found) > MAX_DICTIONARY or len(values) > MAX_DICTIONARY:
-            raise ValueError(f"a dictionary of more than {MAX_DICTIONARY} values can't be sent to the workers")
-    return tuple(sorted(v for v in values if any(c in v for c in SEPARATORS) or _SLASH.search(v)))
+def separated(values: DataFrame) -> DataFrame:
+    """``value``: the distinct values, without outer spaces, of a one-column frame that hold a separator; the others need no protection."""
+    value = F.regexp_replace(F.col(values.columns[0]), r"(?U)^\s+|\s+$", "")
+    return values.select(value.alias("value")).filter(F.col("value").rlike(_BREAK)).distinct()
 
 
-def split_packed(fields: DataFrame, known: tuple[str, ...] = (), least: int = 1) -> DataFrame:
+def known_values(dictionary: DataFrame, most: int = MAX_DICTIONARY) -> tuple[str, ...] | DataFrame:
+    """The known values that need protection: on the driver if there are at most ``most``, else as the frame ``value``."""
+    values = separated(dictionary)
+    found = values.limit(most + 1).collect()
+    return tuple(sorted(r[0] for r in found)) if len(found) <= most else values
+
+
+def with_candidates(fields: DataFrame, values: DataFrame) -> DataFrame:
+    """``fields`` with ``candidates``: the values whose first piece is a piece of the field, found by an equi-join over distinct fields."""
+    pieces = lambda c: F.filter(F.transform(F.split(F.lower(c), _BREAK), lambda p: F.regexp_replace(p, _EDGE, "")), lambda p: p != "")
+    texts = fields.filter(F.col("packed").rlike(_BREAK)).select("packed").distinct()
+    asked = texts.select("packed", F.explode(F.array_distinct(pieces(F.col("packed")))).alias("piece"))
+    heads = values.select("value", F.get(pieces(F.col("value")), F.lit(0)).alias("piece"))
+    found = asked.join(heads, "piece").filter(F.length("value") <= F.length("packed")).groupBy("packed").agg(F.collect_set("value").alias("candidates"))
+    return fields.join(found, "packed", "left")
+
+
+def split_packed(fields: DataFrame, known: tuple[str, ...] | DataFrame = (), least: int = 1) -> DataFrame:
     """``field_name``, ``row_id``, ``val_pos`` (from 1), ``item`` of ``fields`` (``field_name``, ``row_id``, ``packed``).
 
     Only fields that hold ``least`` values or more come out. Null and blank
-    fields hold none. There is no shuffle: every row is split where it is read.
+    fields hold none. There is no shuffle: every row is split where it is read,
+    unless ``known`` is a frame of values, which is joined to the fields.
     """
+    large = isinstance(known, DataFrame)
+    given = () if large else known
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = dictionary_automaton(known)
+        automaton = dictionary_automaton(given)
         memo: dict[str, list[str]] = {}
         for batch in batches:
             take, positions, items = [], [], []
+            own = batch.column("candidates").to_pylist() if large else None
             for row, text in enumerate(batch.column("packed").to_pylist()):
                 if not text:
                     continue
@@ -162,7 +181,7 @@ def split_packed(fields: DataFrame, known: tuple[str, ...] = (), least: int = 1)
                 if values is None:
                     if len(memo) > 50_000:
                         memo.clear()
-                    values = memo[text] = segment(text, automaton)
+                    values = memo[text] = segment(text, dictionary_automaton(tuple(own[row] or ())) if large else automaton)
                 if len(values) >= least:
                     take.extend([row] * len(values))
                     positions.extend(range(1, len(values) + 1))
@@ -174,4 +193,5 @@ def split_packed(fields: DataFrame, known: tuple[str, ...] = (), least: int = 1)
             )
 
     shaped = fields.select("field_name", F.col("row_id").cast("bigint").alias("row_id"), "packed").filter(F.col("packed").isNotNull())
+    shaped = with_candidates(shaped, known) if large else shaped
     return shaped.mapInArrow(split, "field_name string, row_id bigint, val_pos int, item string")

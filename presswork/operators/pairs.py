@@ -15,19 +15,20 @@ def days_apart(a: Column, b: Column) -> Column:
     return F.abs(F.floor((F.unix_micros(a) - F.unix_micros(b)) / DAY)).cast("bigint")
 
 
-def window_pairs(rows: DataFrame, pos: str = "pos", window: int = WINDOW, columns: tuple[str, ...] = ()) -> DataFrame:
+def window_pairs(rows: DataFrame, pos: str = "pos", window: int = WINDOW, columns: tuple[str, ...] = (), same: tuple[str, ...] = ()) -> DataFrame:
     """Each row with the ``window`` rows after it: ``pos_i``, ``pos_j`` and ``columns`` of both.
 
     Rows are blocked by ``pos div (window + 1)``: a pair lies in one block or
     in two neighbours, so this is an equi-join with a residual and its output
-    grows in proportion to the rows. Positions must be dense.
+    grows in proportion to the rows. Positions must be dense. With ``same``
+    only rows that are equal in these columns are paired.
     """
     block = F.floor((F.col(pos) - 1) / (window + 1))
-    left = rows.select(block.alias("block"), F.col(pos).alias("pos_i"), *[F.col(c).alias(f"{c}_i") for c in columns])
+    left = rows.select(block.alias("block"), *same, F.col(pos).alias("pos_i"), *[F.col(c).alias(f"{c}_i") for c in columns])
     right = rows.select(
-        F.explode(F.array(block, block - 1)).alias("block"), F.col(pos).alias("pos_j"), *[F.col(c).alias(f"{c}_j") for c in columns]
+        F.explode(F.array(block, block - 1)).alias("block"), *same, F.col(pos).alias("pos_j"), *[F.col(c).alias(f"{c}_j") for c in columns]
     )
-    return left.join(right, "block").filter((F.col("pos_j") > F.col("pos_i")) & (F.col("pos_j") <= F.col("pos_i") + window)).drop("block")
+    return left.join(right, ["block", *same]).filter((F.col("pos_j") > F.col("pos_i")) & (F.col("pos_j") <= F.col("pos_i") + window)).drop("block", *same)
 
 
 def tagged_pairs(rows: DataFrame, tags: Column, category: Column, pos: str, date: str, days: int = 3, only: Column | None = None) -> DataFrame:

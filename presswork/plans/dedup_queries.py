@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from presswork.functions.numbers import extract_numbers, similar_numbers
 from presswork.functions.similarity import STOP_WORDS, core_match, title_words
 from presswork.functions.text import real_tags
-from presswork.operators.dedup import event_dedup, first_titles, title_dedup, title_matches
+from presswork.operators.dedup import event_dedup, event_matches, first_titles, title_dedup, title_matches
 from presswork.operators.ordering import with_position
 from presswork.operators.pairs import days_apart, tagged_pairs, window_pairs
 from presswork.plans import pipeline
@@ -38,10 +38,11 @@ def pairs_positional_window(spark, sf_dir):
     return window_pairs(loaded(spark, sf_dir)).select("pos_i", "pos_j")
 
 
-@registry.query("pairs_within_days", f"SELECT pos_i, pos_j, days FROM ({PAIRS}) WHERE days <= 3")
+@registry.query("pairs_within_days", f"SELECT pos_i, pos_j, days FROM ({PAIRS}) WHERE days IS NULL OR days <= 3")
 def pairs_within_days(spark, sf_dir):
+    """Rows of a window at most three days apart; a null date passes."""
     pairs = window_pairs(loaded(spark, sf_dir), columns=("published_date",))
-    return pairs.select("pos_i", "pos_j", days_apart(F.col("published_date_i"), F.col("published_date_j")).alias("days")).filter("days <= 3")
+    return pairs.select("pos_i", "pos_j", days_apart(F.col("published_date_i"), F.col("published_date_j")).alias("days")).filter("days is null or days <= 3")
 
 
 @registry.query(
@@ -151,15 +152,31 @@ def dedup_phase1(spark, sf_dir):
 
 @registry.query("seq_ratio_pairs")
 def seq_ratio_pairs(spark, sf_dir):
+    """Pairs of a window, at most three days apart, whose titles are more than 0.85 alike."""
+    return title_matches(_named(spark, sf_dir), rules=False)
+
+
+@registry.query("title_pairs")
+def title_pairs(spark, sf_dir):
     """Pairs of a window, at most three days apart, that match by any rule."""
     return title_matches(_named(spark, sf_dir))
 
 
+def _known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = done(spark, sf_dir, "news_title", "competitor_tagging", "category_tag", "rank_score", "scraped_content")
+    return pipeline.with_facts(rows.withColumnRenamed("scraped_content", "content"))
+
+
 @registry.query("event_pairs")
 def event_pairs(spark, sf_dir):
+    """Pairs of accepted articles that tell of the same event."""
+    return event_matches(_known(spark, sf_dir)).select("pos_i", "pos_j", "group_rank")
+
+
+@registry.query("event_survivors")
+def event_survivors(spark, sf_dir):
     """Survivors of the comparison of events among all accepted articles."""
-    rows = done(spark, sf_dir, "news_title", "competitor_tagging", "category_tag", "rank_score", "scraped_content")
-    return event_dedup(pipeline.with_facts(rows.withColumnRenamed("scraped_content", "content")))
+    return event_dedup(_known(spark, sf_dir))
 
 
 @registry.query("dedup_phase2")

@@ -12,6 +12,7 @@ from presswork.operators.pairs import tagged_pairs
 from presswork.plans import pipeline
 from presswork.plans.dedup_queries import done
 from presswork.plans.registry import Registry
+from presswork.plans.text_queries import sql_clean_title
 from presswork.session import table
 from presswork.sources.feeds import collected
 
@@ -30,7 +31,15 @@ def _escaped(column: str):
     return text
 
 
-@registry.query("feed_scan")
+#: Titles and outlets as XML gives them: without outer white space, null titles as empty texts.
+ITEMS = """(SELECT id, search_keyword, trim(coalesce(news_title, ''), ' \t\n\r') AS news_title, trim(coalesce(source, ''), ' \t\n\r') AS source,
+ nullif(trim(link, ' \t\n\r'), '') AS link, published_date FROM raw_scraped_articles)"""
+FEED_SCAN = f"""SELECT i.search_keyword, 0 AS feed_ord, i.id AS entry_ord, c.clean_title AS news_title, i.source, i.link,
+ coalesce(date_trunc('second', i.published_date), TIMESTAMP '2025-12-31 00:00:00') AS published_date
+ FROM {ITEMS} i JOIN ({sql_clean_title().replace("raw_scraped_articles", ITEMS)}) c USING (id)"""
+
+
+@registry.query("feed_scan", FEED_SCAN)
 def feed_scan(spark, sf_dir):
     """Every queued row as an item of a feed, read back from XML, its outlet found and its title cleaned."""
     raw = table(spark, sf_dir, "raw_scraped_articles", "id", "search_keyword", "news_title", "source", "link", "published_date")

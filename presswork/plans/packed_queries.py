@@ -16,16 +16,12 @@ def quoted_values(dictionary: DataFrame, column: str) -> DataFrame:
     return dictionary.select(F.explode(F.regexp_extract_all(F.col(column), F.lit('["“]([^"”]+)["”]'), F.lit(1))).alias("value"))
 
 
-def known(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+def known(spark: SparkSession, sf_dir: str) -> tuple[str, ...] | DataFrame:
     """Known whole values of the dictionary tables: names, and keywords between quotes."""
     names = table(spark, sf_dir, "competitors", "competitor", "keywords_raw")
     units = table(spark, sf_dir, "sbu_keywords", "sbu", "keywords_raw")
-    return known_values(
-        spark,
-        names.select("competitor").distinct(),
-        units.select("sbu").distinct(),
-        quoted_values(names, "keywords_raw").unionAll(quoted_values(units, "keywords_raw")).distinct(),
-    )
+    stated = names.select(F.col("competitor").alias("value")).unionAll(units.select("sbu"))
+    return known_values(stated.unionAll(quoted_values(names, "keywords_raw")).unionAll(quoted_values(units, "keywords_raw")))
 
 
 def packed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:

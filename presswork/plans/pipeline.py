@@ -5,18 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.functions.text import coerce_number, first_given, html_to_text, json_object_text, parse_score, real_tags
 from presswork.operators.dedup import event_dedup, title_dedup
-from presswork.operators.dictionary import alias_table, normalize_tags, resolve_names
+from presswork.operators.dictionary import alias_table, keyword_dict, keyword_table, normalize_tags, resolve_names, tag_contained
 from presswork.operators.ordering import with_position
 from presswork.operators.rank import rank_score
-from presswork.plans.services import OfflineModel, call
+from presswork.plans.services import Model, OfflineModel, call
 from presswork.session import cut
-from presswork.sources.feeds import fetch_pages
-from presswork.sources.sinks import stored_columns
+from presswork.sources.feeds import collected, fetch_pages, first_per_link
+from presswork.sources.sinks import Counts, drain, insert_ignore, stored_columns
 
 #: Least score of an item that is analysed and stored.
 RELEVANT = 70
@@ -59,7 +59,7 @@ def with_pages(rows: DataFrame, queue: DataFrame, fetch: Callable[[str], str] |
 
 
 def run(
-    spark: SparkSession, queue: DataFrame, competitors: DataFrame, model: OfflineModel | None = None, fetch: Callable[[str], str] | None = None
+    spark: SparkSession, queue: DataFrame, competitors: DataFrame, model: Model | None = None, fetch: Callable[[str], str] | None = None
 ) -> Steps:
     """Score, analyse, rank and de-duplicate the queue (``raw_scraped_articles``). An empty queue gives empty tables.
 
@@ -96,9 +96,52 @@ def run(
     return Steps(scored, analysed, after_titles, stored_columns(final))
 
 
-def with_facts(rows: DataFrame, model: OfflineModel | None = None) -> DataFrame:
+def with_facts(rows: DataFrame, model: Model | None = None) -> DataFrame:
     """``rows`` with the ``facts``, ``tags`` and ``score`` that the comparison of events reads; ``content`` is the text of the page."""
     model = model or OfflineModel()
     replied = call(rows.withColumn("content", F.substring("content", 1, SHOWN)), model.facts, ["news_title", "content", "category_tag"])
     known = replied.withColumn("facts", F.from_json(json_object_text(F.col("reply")), "map<string,string>")).drop("reply", "content")
     return cut(known.withColumns({"tags": real_tags(F.col("competitor_tagging")), "score": F.col("rank_score")}))
+
+
+QUEUED = ("id", "search_keyword", "news_title", "source", "link", "published_date", "sbu", "competitor", "content")
+
+
+def relevant(entries: DataFrame, units: DataFrame, firms: DataFrame, ingested: Column) -> DataFrame:
+    """The first entry of each link that names a competitor and a business unit, in the columns of the queue.
+
+    ``units`` (``sbu``) and ``firms`` (``competitor``) are the dictionaries
+    with ``keywords_raw``; entries without a date take the time ``ingested``.
+    """
+    items = collected(entries, ingested).withColumn("text", F.concat(F.coalesce("news_title", F.lit("")), F.lit(" "), F.coalesce("source", F.lit(""))))
+    tagged = tag_contained(items, "text", keyword_dict(keyword_table(firms, "competitor"), tag="owner"), "competitor")
+    tagged = tag_contained(tagged, "text", keyword_dict(keyword_table(units, "sbu")), "sbu").filter("competitor <> '' and sbu <> ''")
+    chosen = with_position(first_per_link(tagged, "feed_ord", "entry_ord"), F.asc("feed_ord"), F.asc("entry_ord"), name="id")
+    return chosen.withColumn("content", F.lit(None).cast("string")).select(*QUEUED)
+
+
+@dataclass(frozen=True)
+class Report:
+    """What a whole run did."""
+
+    failed_feeds: int
+    queued: Counts
+    stored: Counts
+
+
+def cycle(
+    spark: SparkSession, entries: DataFrame, units: DataFrame, firms: DataFrame, queue: str, stored: str, ingested: Column,
+    model: Model | None = None, fetch: Callable[[str], str] | None = None,
+) -> Report:
+    """One whole run: collect ``entries`` into the table at ``queue``, process the queue, store at ``stored``, empty the queue.
+
+    A failure of any step is raised and leaves the queue as it is, so nothing
+    that was collected is lost; the next run processes it again. Rows that were
+    stored before a failure are not stored twice, unless their key has a null.
+    """
+    entries = cut(entries)
+    queued = insert_ignore(spark, relevant(entries, units, firms, ingested), queue, "id")
+    waiting = spark.read.parquet(queue)
+    done = insert_ignore(spark, run(spark, waiting, firms, model, fetch).stored, stored, "news_title")
+    drain(spark, queue, waiting.schema)
+    return Report(entries.filter(~F.col("success")).count(), queued, done)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.functions.numbers import extract_numbers, values_similar
+from presswork.functions.pages import with_visible_text
 from presswork.functions.text import clean_title, coerce_number, font_source, html_to_text, json_object_text, parse_score, strip
 from presswork.operators.events import FACTS, OTHER_FACTS
 from presswork.operators.rank import RULES, best_tier, category_points, place_points, rank_score, value_points
@@ -29,7 +30,7 @@ def processed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 STRIP = r"regexp_replace(regexp_replace({0}, '^[\s\p{{Z}}\x1c-\x1f\x85]+', ''), '[\s\p{{Z}}\x1c-\x1f\x85]+$', '')"
 
 
-def _sql_clean_title() -> str:
+def sql_clean_title() -> str:
     ends = "".join(
         f"WHEN coalesce(source, '') <> '' AND ends_with(t, '{s}' || source) THEN {STRIP.format(f'left(t, length(t) - length(source) - {len(s)})')} "
         for s in (" - ", " | ", " – ", "- ", "| ")
@@ -43,7 +44,7 @@ def _sql_clean_title() -> str:
     )
 
 
-@registry.query("clean_title", _sql_clean_title())
+@registry.query("clean_title", sql_clean_title())
 def clean_titles(spark, sf_dir):
     return raw(spark, sf_dir, "news_title", "source").select("id", clean_title(F.col("news_title"), F.col("source")).alias("clean_title"))
 
@@ -80,6 +81,13 @@ def html_texts(spark, sf_dir):
     return raw(spark, sf_dir, "news_title", "content").select("id", html_to_text(html, 3000).alias("text"))
 
 
+@registry.query("html_to_text_dom", f"SELECT id, left(trim({_sql_html_to_text()}), 3000) AS text FROM raw_scraped_articles")
+def html_texts_by_tree(spark, sf_dir):
+    """The same by the element tree, for pages that patterns can't follow."""
+    pages = raw(spark, sf_dir, "news_title", "content").select("id", F.expr(PAGE_SQL.replace("chr(10)", "char(10)")).alias("html"))
+    return with_visible_text(pages, "html", "text", 3000).drop("html")
+
+
 @registry.query("truncate_content", "SELECT article_id, left(scraped_content, 500) AS stored, left(scraped_content, 2000) AS shown FROM processed_articles")
 def truncate_content(spark, sf_dir):
     """The stored and the shown part of a page's text, at their specified lengths."""

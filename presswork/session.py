@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -41,6 +42,17 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df
 
 
+def dimension(spark: SparkSession, path: str, *columns: str) -> DataFrame:
+    """A dictionary table from Parquet or, by its ending, from CSV with a header; an absent file raises ``FileNotFoundError``."""
+    try:
+        df = spark.read.csv(path, header=True, inferSchema=True, escape='"') if path.endswith(".csv") else spark.read.parquet(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            raise FileNotFoundError(path) from error
+        raise
+    return df.select(*columns) if columns else df
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder in which lineage is cut.
 

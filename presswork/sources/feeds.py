@@ -13,6 +13,8 @@ from presswork.functions.text import clean_title, font_source, quote_url
 
 #: Address of a feed of search results (fixed value); the keyword and the span of days are filled in.
 ADDRESS = "https://news.google.com/rss/search?q={q}+when:{days}d&hl=en-IN&gl=IN&ceid=IN:en"
+#: Seconds that one feed may take.
+TIMEOUT = 30.0
 ENTRY_SCHEMA = "keyword string, feed_ord int, entry_ord int, success boolean, title string, link string, published timestamp, description string"
 
 
@@ -44,20 +46,36 @@ class FeedPartition(InputPartition):
 
 
 class FeedReader(DataSourceReader):
-    """One partition for each keyword; a feed that can't be had or read gives one row that says so."""
+    """One partition for each keyword; a feed that can't be had or read gives one row that says so.
 
-    def __init__(self, keywords: list[str], folder: str):
-        self.keywords, self.folder = keywords, folder
+    ``where`` is a folder of saved feeds, or an address in which ``{q}`` stands
+    for the quoted keyword; whatever an address answers is read, its status
+    does not count.
+    """
+
+    def __init__(self, keywords: list[str], where: str, timeout: float = TIMEOUT):
+        self.keywords, self.where, self.timeout = keywords, where, timeout
+
+    def content(self, keyword: str) -> str:
+        from urllib.error import HTTPError
+        from urllib.parse import quote
+        from urllib.request import urlopen
+
+        if "{q}" not in self.where:
+            with open(f"{self.where}/{keyword}.xml", encoding="utf-8") as file:
+                return file.read()
+        try:
+            with urlopen(self.where.replace("{q}", quote(keyword)), timeout=self.timeout) as answer:
+                return answer.read().decode("utf-8", "replace")
+        except HTTPError as answer:
+            return answer.read().decode("utf-8", "replace")
 
     def partitions(self):
         return [FeedPartition(i, k) for i, k in enumerate(self.keywords)]
 
     def read(self, partition):
-        import os
-
         try:
-            with open(os.path.join(self.folder, f"{partition.keyword}.xml"), encoding="utf-8") as file:
-                entries = parse_feed(file.read())
+            entries = parse_feed(self.content(partition.keyword))
         except Exception:  # noqa: BLE001 - any failure of one feed is that feed's alone
             yield (partition.keyword, partition.number, 0, False, None, None, None, None)
             return
@@ -67,24 +85,33 @@ class FeedReader(DataSourceReader):
 
 
 class FeedSource(DataSource):
-    """``spark.read.format("feed_folder")``: option ``keywords`` (one per line) and ``path`` (folder of saved feeds)."""
+    """``spark.read.format("feeds")``: options ``keywords`` (one per line), ``where`` (a folder of saved feeds, or an address
+    with ``{q}`` for the keyword) and ``timeout`` (seconds for one feed)."""
 
     @classmethod
     def name(cls):
-        return "feed_folder"
+        return "feeds"
 
     def schema(self):
         return ENTRY_SCHEMA
 
     def reader(self, schema):
         keywords = sorted({k for k in self.options["keywords"].split("\n") if k})
-        return FeedReader(keywords, self.options["path"])
+        return FeedReader(keywords, self.options["where"], float(self.options.get("timeout", TIMEOUT)))
 
 
-def read_feeds(spark: SparkSession, keywords: list[str], folder: str) -> DataFrame:
-    """Entries of the saved feeds of all keywords, in alphabetical order of the keywords."""
+def read_feeds(spark: SparkSession, keywords: list[str], where: str, timeout: float = TIMEOUT) -> DataFrame:
+    """Entries of the feeds of all keywords, in alphabetical order of the keywords; ``where`` as in ``FeedReader``."""
     spark.dataSource.register(FeedSource)
-    return spark.read.format("feed_folder").option("keywords", "\n".join(keywords)).option("path", folder).load()
+    return spark.read.format("feeds").option("keywords", "\n".join(keywords)).option("where", where).option("timeout", str(timeout)).load()
+
+
+def http_page(link: str, timeout: float = 10.0) -> str:
+    """The page behind a link, for ``fetch_pages``."""
+    from urllib.request import Request, urlopen
+
+    with urlopen(Request(link, headers={"User-Agent": "Mozilla/5.0"}), timeout=timeout) as answer:
+        return answer.read().decode(answer.headers.get_content_charset() or "utf-8", "replace")
 
 
 def fetch_pages(links: DataFrame, fetch: Callable[[str], str], partitions: int) -> DataFrame:

@@ -43,11 +43,6 @@ def test_query_equals_sql(spark, tiny, db, name):
     assert got == sorted([tuple(plain(r[names.index(c)]) for c in columns) for r in result.fetchall()], key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(SQL)))
-def test_query_without_sql_runs(spark, tiny, name):
-    assert entry_module.queries()[name](spark, tiny).count() >= 0
-
-
 def test_matches_have_the_group_rank_of_all_articles(spark, tmp_path):
     days = [datetime.datetime(2025, 1, 1, 9 - i) for i in range(4)]
     rows = [(i, d, "Acme wins order", "Acme", c, 0, "") for i, (d, c) in enumerate(zip(days, ("Legal", "Order Wins", "Order Wins", "Legal")), 1)]
