@@ -27,6 +27,8 @@ WORDS, LIKENESS = 5, 0.8
 ROWS, BANDS = 6, 50
 #: One-bit coordinates of the signature.
 BITS = 256
+#: Ids (8 bytes each) up to which they are sent to the texts instead of shuffling these.
+FEW = 1_000_000
 #: Rows of one band, or copies of one text, beyond which their pairs are found in several tasks.
 BLOCK = 5_000
 
@@ -116,6 +118,12 @@ def bits_alike(least: float, bits: int = BITS) -> int:
     return int(bits * share - 6.5 * (bits * share * (1 - share)) ** 0.5)
 
 
+def _only(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Semi- or anti-join on ``article_id``. The planner doesn't know the size of computed ids, so it is counted here: up to
+    ``FEW`` they go to the texts, beyond that both are shuffled."""
+    return df.join(F.broadcast(ids) if ids.count() <= FEW else ids, "article_id", how)
+
+
 def _pairs_by(rows: DataFrame, key: str, columns: tuple[str, ...], block: int) -> DataFrame:
     """Pairs of rows of one ``key``: ``columns`` as ``..._a`` and ``..._b``, with ``rep_a`` < ``rep_b``.
 
@@ -206,11 +214,11 @@ def near_duplicate_classes(
     texts = texts.select("article_id", "kind", "text").filter(F.col("text").isNotNull())
     members = cut(equal_texts(texts, hot_rows))
     copies = members.filter(F.col("rep") != F.col("article_id")).select("article_id")
-    distinct = texts.join(copies, "article_id", "left_anti")
+    distinct = _only(texts, copies, "left_anti")
     sketched = cut(sketches(distinct, words, rows, bands))
     pairs = cut(candidate_pairs(sketched, least, block))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("article_id")).distinct()
-    tokens = distinct.join(wanted, "article_id", "left_semi").select("article_id", hashed_words(F.col("text")).alias("tokens"))
+    tokens = _only(distinct, wanted, "left_semi").select("article_id", hashed_words(F.col("text")).alias("tokens"))
     sets = tokens.select("article_id", word_sequences(F.col("tokens"), words).alias("s"))
     both = F.size(F.array_intersect("sa", "sb"))
     links = (
