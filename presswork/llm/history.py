@@ -6,11 +6,11 @@ segment is stored: the suffixes of its concatenated texts, cut at the
 guaranteed match length and sorted; the texts themselves; and the articles
 that can be a first one. Segments of equal level are merged, so there are
 O(log batches) of them. A new batch reads the part of the index near its dates
-and never the articles of earlier batches: its substrings are looked up in the
-sorted suffixes by binary search, the long matches are counted for each pair of
-records (their coverage), and pairs covered enough are compared by their whole
-sets of hashed words. Links found so are the same page only if their canonical
-texts are equal.
+and never the articles of earlier batches: its own suffixes are sorted, and the
+stored ones are looked up among them by binary search. The long matches are
+counted for each pair of records (their coverage), and pairs covered enough are
+compared by their whole sets of hashed words. Links found so are the same page
+only if their canonical texts are equal.
 
 Guaranteed match length: two sorted word sequences with ``s`` shared words and
 ``d`` others agree, somewhere, in a run of ``ceil(s / (d + 1))`` shared words.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from presswork.operators.skew import HOT_ROWS, join_unique
-from presswork.session import cut, ensure_checkpoint_dir
+from presswork.session import cut, ensure_checkpoint_dir, release
 
 #: Least likeness of the words of two titles.
 LIKENESS = 0.85
@@ -38,6 +39,14 @@ HOURS = 72
 SHARD_WORDS = 2_000_000
 #: Candidate pairs looked at together in a shard.
 CHUNK = 2_000_000
+#: Runs of a batch up to which they are sent to the stored ones (28 bytes each); a tenth as many pairs are broadcast.
+FEW = 1_000_000
+#: Bits of the map of asked runs by which the stored ones are thinned out: 1 MB.
+BITS = 1 << 23
+#: Rows of one text in a batch up to which all are kept as possible firsts; of more only those that can be one.
+ALL_KEPT = 100
+#: Parts into which the rows of a hot text are split.
+SALTS = 16
 #: The bucket of all links; those of titles are spans of time.
 LINKS = -(2**30)
 #: Texts of more words than this share the match length of this many.
@@ -59,14 +68,26 @@ def canonical_link(link: Column) -> Column:
     """
     text = F.regexp_replace(F.trim(link), r"(?s)#.*$", "")
     text = F.regexp_replace(text, r"(?i)^(?:[a-z][a-z0-9+.-]*:)?//", "")
-    host = F.lower(F.regexp_extract(text, r"^([^/?]*)", 1))
-    host = F.regexp_replace(F.regexp_replace(host, r":(?:80|443)$", ""), HOST_PREFIX, "")
-    path = F.regexp_extract(text, r"^[^/?]*([^?]*)", 1)
-    path = F.regexp_replace(F.regexp_replace(path, r"/+$", ""), LIGHT_PATH, "")
-    path = F.regexp_replace(F.regexp_replace(path, r"^/(?:amp|lite|m|mobile)(?=/)", ""), r"/+$", "")
-    query = F.regexp_extract(text, r"^[^?]*\?(.*)$", 1)
-    kept = F.array_sort(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(PASSING_PARAMETER)))
-    return F.when(host != "", F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(F.lit(""))))
+
+    def parts(text: Column) -> Column:
+        host = F.lower(F.regexp_extract(text, r"^([^/?]*)", 1))
+        host = F.regexp_replace(F.regexp_replace(host, r":(?:80|443)$", ""), HOST_PREFIX, "")
+        path = F.regexp_extract(text, r"^[^/?]*([^?]*)", 1)
+        path = F.regexp_replace(F.regexp_replace(path, r"/+$", ""), LIGHT_PATH, "")
+        path = F.regexp_replace(F.regexp_replace(path, r"^/(?:amp|lite|m|mobile)(?=/)", ""), r"/+$", "")
+        query = F.regexp_extract(text, r"^[^?]*\?(.*)$", 1)
+        kept = F.array_sort(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(PASSING_PARAMETER)))
+        return F.struct(host.alias("host"), path.alias("path"), F.when(F.contains(text, F.lit("?")), F.array_join(kept, "&")).otherwise("").alias("query"))
+
+    def whole(p: Column) -> Column:
+        return F.when(p["host"] != "", F.concat(p["host"], p["path"], F.when(p["query"] != "", F.concat(F.lit("?"), p["query"])).otherwise(F.lit(""))))
+
+    return _once(_once(text, parts), whole)
+
+
+def _once(value: Column, then) -> Column:
+    """``then(value)``, with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def distinct_words(text: Column) -> Column:
@@ -108,10 +129,11 @@ def _class(n: Column, least: float) -> Column:
     return F.floor(F.log(n) / F.lit(math.log(1 / least)) + F.lit(1e-9)).cast("int")
 
 
-def _with_length(texts: DataFrame, of: Column, least: float) -> DataFrame:
-    """``texts`` with ``length``, the match length of class ``of``; texts without a run so long are left out."""
+def _lengths(of: Column, least: float, beside: tuple[int, ...] = (0,)) -> Column:
+    """The distinct match lengths of class ``of`` and of those ``beside`` it, as far as a text of ``size`` words has them."""
     known = F.array(*map(F.lit, class_lengths(least)))
-    return texts.filter(of >= 0).withColumn("length", F.element_at(known, of + 1)).filter(F.col("length") <= F.col("size"))
+    found = [F.when(of + k >= 0, F.element_at(known, of + k + 1)) for k in beside]
+    return F.filter(F.array_distinct(F.array(*found)), lambda n: n <= F.col("size"))
 
 
 def _suffixes(bucket: Column) -> Column:
@@ -120,62 +142,76 @@ def _suffixes(bucket: Column) -> Column:
     return F.explode(F.array_distinct(F.transform(starts, lambda i: F.xxhash64(bucket, F.slice("tokens", i, F.col("length")), F.col("length"))))).alias("run")
 
 
-def search_suffixes(keys: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each of ``low`` begins and ends in the sorted ``keys``, by binary search."""
-    return np.searchsorted(keys, low, "left"), np.searchsorted(keys, low, "right")
+ASKED = ("run", "text_id", "sign", "size")
+
 
+def in_order(asked: pa.Table) -> dict[str, np.ndarray]:
+    """The columns of ``ASKED``, sorted by run."""
+    order = np.argsort(asked.column("run").to_numpy(), kind="stable")
+    return {c: asked.column(c).to_numpy()[order] for c in ASKED}
 
-def long_matches(asked: pa.Table, held: pa.Table, least: float = LIKENESS) -> pa.Table:
-    """Pairs of ``asked`` and ``held`` texts with the number of runs they share, without those whose signatures exclude it."""
+
+def long_matches(asked: dict[str, np.ndarray], held: pa.Table | pa.RecordBatch, least: float = LIKENESS) -> Iterator[pa.RecordBatch]:
+    """Pairs of ``asked`` (in order) and ``held`` texts with the number of runs they share, without those whose signatures
+    exclude it. Each held suffix is looked up among the sorted asked ones by binary search."""
     names = ["query_id", "text_id", "asked_size", "held_size", "runs"]
-    column = lambda t, c: t.column(c).to_numpy()
-    order = np.argsort(column(held, "run"), kind="stable")
-    keys = column(held, "run")[order]
-    held_id, held_sign, held_size = (column(held, c)[order] for c in ("text_id", "sign", "size"))
-    asked_id, asked_sign, asked_size = (column(asked, c) for c in ("text_id", "sign", "size"))
-    held_sign, asked_sign = held_sign.view(np.uint64), np.ascontiguousarray(asked_sign).view(np.uint64)
-    first, last = search_suffixes(keys, column(asked, "run"))
+    run = held.column("run").to_numpy()
+    first, last = np.searchsorted(asked["run"], run, "left"), np.searchsorted(asked["run"], run, "right")
     hits = last - first
     some = np.flatnonzero(hits > 0)
-    bounds, begin, out = np.cumsum(hits[some]), 0, []
+    if not len(some):
+        return
+    held_id, held_sign, held_size = (held.column(c).to_numpy() for c in ("text_id", "sign", "size"))
+    bounds, begin = np.cumsum(hits[some]), 0
     while begin < len(some):
         end = max(begin + 1, int(np.searchsorted(bounds, (bounds[begin - 1] if begin else 0) + CHUNK, "right")))
         part = some[begin:end]
         n = hits[part]
-        h = np.repeat(first[part], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        q = np.repeat(part, n)
-        total = asked_size[q] + held_size[h]
-        near = np.bitwise_count(asked_sign[q] ^ held_sign[h]) <= total - 2 * np.ceil(least * total / (1 + least) - 1e-9)
-        pair = np.empty(int(near.sum()), [("q", np.int64), ("h", np.int64), ("m", np.int64), ("n", np.int64)])
-        pair["q"], pair["h"], pair["m"], pair["n"] = asked_id[q[near]], held_id[h[near]], asked_size[q[near]], held_size[h[near]]
-        out.append(np.unique(pair, return_counts=True))
+        q = np.repeat(first[part], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        h = np.repeat(part, n)
+        total = asked["size"][q] + held_size[h]
+        differ = np.bitwise_count((asked["sign"][q] ^ held_sign[h]).view(np.uint64))
+        near = differ <= total - 2 * np.ceil(least * total / (1 + least) - 1e-9)
+        q, h = q[near], h[near]
+        pair = np.empty(len(q), [("q", np.int64), ("h", np.int64), ("m", np.int64), ("n", np.int64)])
+        pair["q"], pair["h"], pair["m"], pair["n"] = asked["text_id"][q], held_id[h], asked["size"][q], held_size[h]
+        pair, count = np.unique(pair, return_counts=True)
+        yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(pair[c])) for c in "qhmn"), pa.array(count.astype(np.int64))], names=names)
         begin = end
-    pairs = np.concatenate([p for p, _ in out]) if out else np.empty(0, [(c, np.int64) for c in "qhmn"])
-    counts = np.concatenate([c for _, c in out]) if out else np.empty(0, np.int64)
-    return pa.table([pa.array(np.ascontiguousarray(pairs[c])) for c in "qhmn"] + [pa.array(counts.astype(np.int64))], names=names)
 
 
 def prepared(articles: DataFrame, hours: int = HOURS) -> DataFrame:
-    """``article_id``, ``ts``, ``bucket``, ``tokens``, ``page``, ``text_id``: a row for the title and one for the link of each article."""
+    """``article_id``, ``ts``, ``bucket``, ``side``, ``tokens``, ``page``, ``text_id``: a row for the title and one for the link of each article.
+
+    A bucket of titles is twice ``hours`` wide, so what is near a row lies in
+    its bucket and in the one before (``side`` -1) or after it (1).
+    """
     micros = hours * 3_600_000_000
+    # each link and title is taken apart once: both rows come from one array
     base = articles.filter(F.col("article_id").isNotNull()).select(
         "article_id",
         F.unix_micros(F.col("published_date").cast("timestamp")).alias("ts"),
         canonical_link(F.col("link")).alias("page"),
         distinct_words(F.col("news_title")).alias("words"),
     )
-    titled = base.filter(F.col("ts").isNotNull() & (F.size("words") > 0)).select(
-        "article_id",
-        "ts",
-        F.floor(F.col("ts") / micros).cast("int").alias("bucket"),
+    titled = F.struct(
+        F.col("ts").alias("ts"),
+        F.floor(F.col("ts") / (2 * micros)).cast("int").alias("bucket"),
+        (F.pmod(F.floor(F.col("ts") / micros), F.lit(2)) * 2 - 1).cast("int").alias("side"),
         F.array_sort(F.array_distinct(F.transform("words", lambda w: F.hash(w)))).alias("tokens"),
         F.lit("").alias("page"),
-        F.array_join(F.array_sort("words"), " ").alias("key"),
+        F.when(F.col("ts").isNotNull() & (F.size("words") > 0), F.array_join(F.array_sort("words"), " ")).alias("key"),
     )
-    linked = base.filter(F.col("page").isNotNull()).select(
-        "article_id", F.lit(None).cast("bigint").alias("ts"), F.lit(LINKS).alias("bucket"), link_tokens(F.col("page")).alias("tokens"), "page", F.col("page").alias("key")
+    linked = F.struct(
+        F.lit(None).cast("bigint").alias("ts"),
+        F.lit(LINKS).alias("bucket"),
+        F.lit(0).alias("side"),
+        link_tokens(F.col("page")).alias("tokens"),
+        F.col("page").alias("page"),
+        F.col("page").alias("key"),
     )
-    return titled.unionAll(linked).withColumn("text_id", F.xxhash64("key", "bucket", F.lit(7))).drop("key")
+    both = base.select("article_id", F.explode(F.array(titled, linked)).alias("row")).filter(F.col("row.key").isNotNull())
+    return both.select("article_id", "row.ts", "row.bucket", "row.side", "row.tokens", "row.page", F.xxhash64("row.key", "row.bucket", F.lit(7)).alias("text_id"))
 
 
 def _staircase(rows: DataFrame, *by: str) -> DataFrame:
@@ -194,37 +230,32 @@ def _staircase(rows: DataFrame, *by: str) -> DataFrame:
 class HistoryIndex:
     """The stored index at ``path``, a folder that all executors share.
 
-    A segment is a folder ``first-last-level-words`` with the parts ``runs`` (sorted
-    suffixes), ``texts`` and ``firsts`` (articles that can be a first one: of
-    each text the smallest ids over time, a logarithmic number for ids in any
-    usual order). ``shards`` fixes the number of shards of a lookup in tests.
+    A segment is a folder ``first-last-level-words`` of three parts: ``runs``
+    (suffixes in sorted files), ``texts`` and ``firsts`` (articles that can be a first
+    one: of each text the smallest ids over time, a logarithmic number for ids
+    in any usual order). ``shards`` fixes the number of shards of a lookup. A
+    batch of at most ``few`` runs is sent to the index, a larger one meets it in shards.
     """
 
-    PARTS = {"runs": ("bucket", "run"), "texts": ("bucket", "text_id"), "firsts": ("bucket", "text_id")}
-    SCHEMAS = {
-        "runs": "bucket int, text_id bigint, sign bigint, size int, run bigint",
-        "texts": "bucket int, text_id bigint, page string, size int, tokens array<int>",
-        "firsts": "text_id bigint, page string, bucket int, article_id bigint, ts bigint",
-    }
+    SCHEMA = "bucket int, run bigint, text_id bigint, sign bigint, size int, page string, tokens array<int>, article_id bigint, ts bigint, part string"
 
-    def __init__(self, spark: SparkSession, path: str, least: float = LIKENESS, hours: int = HOURS, shards: int | None = None, hot_rows: int = HOT_ROWS):
-        self.spark, self.path, self.least, self.hours, self.shards, self.hot_rows = spark, path, least, hours, shards, hot_rows
+    def __init__(self, spark: SparkSession, path: str, least: float = LIKENESS, hours: int = HOURS, shards: int | None = None, hot_rows: int = HOT_ROWS, few: int = FEW):
+        self.spark, self.path, self.least, self.hours, self.shards, self.hot_rows, self.few = spark, path, least, hours, shards, hot_rows, few
         at = spark._jvm.org.apache.hadoop.fs.Path
         self._at, self._files = at, at(path).getFileSystem(spark._jsc.hadoopConfiguration())
         found = self._files.listStatus(at(path)) if self._files.exists(at(path)) else []
-        names = sorted(f.getPath().getName() for f in found if self._files.exists(at(f.getPath(), "_DONE")))
+        names = sorted(f.getPath().getName() for f in found if self._files.exists(at(f.getPath(), "_SUCCESS")))
         # a merge that was cut off leaves the segments that it stands for
         self.segments = [n for n in names if not any(m != n and _span(m)[0] <= _span(n)[0] and _span(n)[1] <= _span(m)[1] for m in names)]
 
-    def _read(self, part: str, segments: list[str] | None = None) -> DataFrame:
-        return self.spark.read.schema(self.SCHEMAS[part]).parquet(*[f"{self.path}/{s}/{part}" for s in (self.segments if segments is None else segments)])
+    def _read(self, segments: list[str]) -> DataFrame:
+        return reduce(DataFrame.unionAll, [self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/{s}") for s in segments])
+
+    def _write(self, name: str, rows: DataFrame) -> None:
+        rows.sortWithinPartitions("part", "bucket", "run", "text_id").write.partitionBy("part").mode("overwrite").parquet(f"{self.path}/{name}")
 
-    def _write(self, name: str, parts: dict[str, DataFrame], ranged: bool) -> None:
-        for part, df in parts.items():
-            order = self.PARTS[part]
-            df = df.repartitionByRange(*order) if ranged else df
-            df.sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{self.path}/{name}/{part}")
-        self._files.create(self._at(f"{self.path}/{name}/_DONE")).close()
+    def _tasks(self, words: int) -> int:
+        return self.shards or max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * words // SHARD_WORDS))
 
     def accept(self, batch: DataFrame) -> DataFrame:
         """``first_id``, ``article_id``: the articles of ``batch`` that repeat one of the index, with the smallest id that
@@ -233,85 +264,134 @@ class HistoryIndex:
         rows = cut(prepared(batch, self.hours))
         texts = cut(
             rows.groupBy("text_id", "page")
-            .agg(F.first("bucket").alias("bucket"), F.first("tokens").alias("tokens"), F.count("*").alias("n"))
+            .agg(F.first("bucket").alias("bucket"), F.first("tokens").alias("tokens"), F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high"))
             .withColumn("size", F.size("tokens"))
             .withColumn("sign", F.expr("aggregate(tokens, 0L, (a, t) -> a | shiftleft(1L, int(pmod(hash(t), 64))))"))
         )
         own = F.when(F.col("bucket") != LINKS, F.col("bucket"))
-        span = texts.agg(F.min(own), F.max(own), F.coalesce(F.sum("size"), F.lit(0))).first()
-        found = cut(self._lookup(rows, texts, span)) if self.segments else self.spark.createDataFrame([], "first_id bigint, article_id bigint")
-        self._add(rows, texts, span[2])
+        first, last, words, most = texts.agg(F.min(own), F.max(own), F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+        hot = most >= self.hot_rows
+        found = self.spark.createDataFrame([], "first_id bigint, article_id bigint")
+        self._sent = []
+        if self.segments:
+            found = cut(self._lookup(rows, texts, (first, last), words, hot))
+        self._add(rows, texts, words, most)
+        release(rows, texts, *([self._covered] if self._sent else []))
+        for value in self._sent:
+            value.destroy()
         return found
 
-    def _lookup(self, rows: DataFrame, texts: DataFrame, span: tuple[int | None, int | None, int]) -> DataFrame:
-        """The repeats among ``rows``; ``span`` has the first and last bucket of their titles and their number of words."""
+    def _send(self, value):
+        """A broadcast that lives until the batch is done."""
+        self._sent.append(self.spark.sparkContext.broadcast(value))
+        return self._sent[-1]
+
+    def _lookup(self, rows: DataFrame, texts: DataFrame, span: tuple[int | None, int | None], words: int, hot: bool) -> DataFrame:
+        """The repeats among ``rows``; ``span`` has the first and last bucket of their titles."""
         near = F.col("bucket") == LINKS
         if span[0] is not None:
             near = near | F.col("bucket").between(span[0] - 1, span[1] + 1)
-        held_texts, held, firsts = (self._read(part).filter(near) for part in ("texts", "runs", "firsts"))
-        shards = self.shards
-        if shards is None:
-            words = span[2] + sum(_span(s)[3] for s in self.segments)
-            shards = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * words // SHARD_WORDS))
-        # a text so alike is of the same class of sizes or a neighbouring one, and of the same bucket or a neighbouring one
-        classes = texts.withColumn("of", F.explode(F.array(*[_class(F.col("size"), self.least) + k for k in (-1, 0, 1)])))
-        steps = F.when(F.col("bucket") == LINKS, F.array(F.lit(0))).otherwise(F.array(*map(F.lit, (-1, 0, 1))))
-        probes = _with_length(classes, F.col("of"), self.least).withColumn("step", F.explode(steps))
-        shard = F.pmod(F.col("run"), F.lit(shards)).cast("int").alias("shard")
-        asked = probes.select("text_id", "sign", "size", _suffixes(F.col("bucket") + F.col("step"))).select("*", shard)
-        held = held.select("text_id", "sign", "size", "run").select("*", shard)
+        held = self._read(self.segments).filter(near)
+        # a text so alike is of the same class of sizes or a neighbouring one
+        lengths = _lengths(_class(F.col("size"), self.least), self.least, (-1, 0, 1))
+        steps = F.array_distinct(F.array(F.col("low"), F.lit(0), F.col("high")))
+        probes = texts.withColumn("length", F.explode(lengths)).withColumn("step", F.explode(steps))
+        asked = probes.select(_suffixes(F.col("bucket") + F.col("step")), "text_id", "sign", "size")
+        runs = held.filter(F.col("part") == "runs").select(*ASKED)
         least = self.least
+        schema = "query_id bigint, text_id bigint, asked_size bigint, held_size bigint, runs bigint"
+        if asked.count() <= self.few:
+            # the batch goes to the stored suffixes, which stay where they are
+            known = self._send(in_order(asked.toArrow()))
 
-        def search(left: pa.Table, right: pa.Table) -> pa.Table:
-            return long_matches(left, right, least)
+            def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    yield from long_matches(known.value, batch, least)
 
-        schema = "query_id bigint, text_id bigint, asked_size bigint, held_size bigint, runs bigint"
-        pairs = asked.groupBy("shard").cogroup(held.groupBy("shard")).applyInArrow(search, schema)
+            pairs = runs.mapInArrow(look_up, schema)
+        else:
+            shard = F.pmod(F.col("run"), F.lit(self._tasks(words + sum(_span(s)[3] for s in self.segments)))).cast("int").alias("shard")
+            runs = runs.mapInArrow(_maybe_asked(asked, self._send), runs.schema)
+
+            def search(left: pa.Table, right: pa.Table) -> pa.Table:
+                return pa.Table.from_batches(list(long_matches(in_order(left), right, least)), _arrow(schema))
+
+            pairs = asked.select("*", shard).groupBy("shard").cogroup(runs.select("*", shard).groupBy("shard")).applyInArrow(search, schema)
         # coverage: the runs that all matches of a pair hold together, and the least that texts so alike have
         total = F.col("asked_size") + F.col("held_size")
         shared = F.ceil(F.lit(least) * total / (1 + least) - 1e-9)
         length = F.element_at(F.array(*map(F.lit, class_lengths(least))), _class(F.col("held_size"), least) + 1)
         covered = pairs.groupBy("query_id", "text_id", "asked_size", "held_size").agg(F.sum("runs").alias("runs"))
-        covered = covered.filter(F.col("runs") >= shared - (total - 2 * shared + 1) * (length - 1)).select("query_id", "text_id")
+        covered = self._covered = cut(covered.filter(F.col("runs") >= shared - (total - 2 * shared + 1) * (length - 1)).select("query_id", "text_id"))
+        small = F.broadcast if covered.count() <= self.few // 10 else lambda df: df
         both = F.size(F.array_intersect("tokens", "held_tokens"))
+        held_texts = held.filter(F.col("part") == "texts").select("text_id", F.col("page").alias("held_page"), F.col("tokens").alias("held_tokens"))
+        wanted = texts.select(F.col("text_id").alias("query_id"), "page", "tokens", "n").join(small(covered), "query_id")
         alike = (
-            covered.join(texts.select(F.col("text_id").alias("query_id"), "page", "tokens"), "query_id")
-            .join(held_texts.select("text_id", F.col("page").alias("held_page"), F.col("tokens").alias("held_tokens")), "text_id")
+            held_texts.join(small(wanted), "text_id")
             .filter((F.col("page") == F.col("held_page")) & (both >= F.lit(least) * (F.size("tokens") + F.size("held_tokens") - both) - 1e-9))
-            .select("query_id", "text_id", "page")
+            .select("query_id", "text_id", "page", "n")
         )
+        firsts = held.filter(F.col("part") == "firsts").select("text_id", "page", "bucket", "article_id", "ts")
+        before = firsts.join(small(alike), ["text_id", "page"]).drop("text_id")
         # of one bucket a reach of time holds the beginning, the end or all
-        before = _staircase(alike.join(firsts, ["text_id", "page"]).drop("text_id"), "query_id", "page", "bucket")
-        mapping = before.select(F.col("query_id").alias("text_id"), "page", F.col("article_id").alias("first_id"), F.col("ts").alias("first_ts")).join(
-            texts.select("text_id", "page", "n"), ["text_id", "page"]
-        )
-        micros = self.hours * 3_600_000_000
+        before = _staircase(before, "query_id", "page", "bucket") if hot else before
+        mapping = before.select(F.col("query_id").alias("text_id"), "page", F.col("article_id").alias("first_id"), F.col("ts").alias("first_ts"), "n")
+        slim, keys = rows.select("text_id", "page", "article_id", "ts"), ["text_id", "page"]
+        joined = join_unique(slim, mapping, keys, "n", F.col("article_id"), self.hot_rows) if hot else slim.join(mapping.drop("n"), keys)
         return (
-            join_unique(rows.select("text_id", "page", "article_id", "ts"), mapping, ["text_id", "page"], "n", F.col("article_id"), self.hot_rows)
-            .filter(F.col("ts").isNull() | (F.abs(F.col("ts") - F.col("first_ts")) <= micros))
+            joined.filter(F.col("ts").isNull() | (F.abs(F.col("ts") - F.col("first_ts")) <= self.hours * 3_600_000_000))
             .groupBy("article_id")
             .agg(F.min("first_id").alias("first_id"))
             .select("first_id", "article_id")
         )
 
-    def _add(self, rows: DataFrame, texts: DataFrame, words: int) -> None:
+    def _add(self, rows: DataFrame, texts: DataFrame, words: int, most: int) -> None:
         number = max((_span(s)[1] for s in self.segments), default=0) + 1
-        salted = rows.select("text_id", "page", "bucket", "article_id", "ts").withColumn("salt", F.pmod(F.xxhash64("article_id"), F.lit(16)))
-        firsts = _staircase(_staircase(salted, "text_id", "page", "salt").drop("salt"), "text_id", "page")
-        runs = _with_length(texts, _class(F.col("size"), self.least), self.least).select("bucket", "text_id", "sign", "size", _suffixes(F.col("bucket")))
+        firsts = rows.groupBy("text_id", "page", "bucket", "ts").agg(F.min("article_id").alias("article_id"))
+        if most >= self.hot_rows:
+            salted = firsts.withColumn("salt", F.pmod(F.xxhash64("article_id"), F.lit(SALTS)))
+            firsts = _staircase(salted, "text_id", "page", "salt").drop("salt")
+        if most > ALL_KEPT:
+            firsts = _staircase(firsts, "text_id", "page")
+        firsts = firsts.withColumn("part", F.lit("firsts"))
+        long = texts.withColumn("length", F.explode(_lengths(_class(F.col("size"), self.least), self.least)))
+        runs = long.select(F.lit("runs").alias("part"), "bucket", "text_id", "sign", "size", _suffixes(F.col("bucket")))
+        kept = texts.select(F.lit("texts").alias("part"), "bucket", "text_id", "page", "tokens")
         name = f"{number:06d}-{number:06d}-0-{words}"
-        self._write(name, {"runs": runs, "texts": texts.select("bucket", "text_id", "page", "size", "tokens"), "firsts": firsts}, False)
+        self._write(name, runs.unionByName(kept, True).unionByName(firsts, True))
         self.segments.append(name)
         while len(self.segments) > 1 and _span(self.segments[-1])[2] == _span(self.segments[-2])[2]:
             pair = self.segments[-2:]
-            (first, _, level, some), (_, last, _, more) = map(_span, pair)
-            merged = f"{first:06d}-{last:06d}-{level + 1}-{some + more}"
-            self._write(merged, {part: self._read(part, pair) for part in self.PARTS}, True)
+            (begin, _, level, some), (_, end, _, more) = map(_span, pair)
+            merged = f"{begin:06d}-{end:06d}-{level + 1}-{some + more}"
+            self._write(merged, self._read(pair).coalesce(self._tasks(some + more)))
             self.segments[-2:] = [merged]
             for old in pair:
                 self._files.delete(self._at(f"{self.path}/{old}"), True)
 
 
+def _arrow(schema: str) -> pa.Schema:
+    return pa.schema([(c.split()[0], pa.int64()) for c in schema.split(", ")])
+
+
+def _maybe_asked(asked: DataFrame, send):
+    """A filter of stored runs by a bitmap of the asked ones (``BITS`` bits, whatever their number), which loses none."""
+    bit = F.pmod(F.col("run"), F.lit(BITS)) + 1
+    marks = asked.groupBy(F.bitmap_bucket_number(bit).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    whole = np.zeros((BITS // 32768, 4096), np.uint8)
+    for row in marks.collect():  # at most BITS / 32,768 rows
+        whole[row["at"] - 1] = np.frombuffer(row["bits"], np.uint8)
+    known = send(whole.ravel())
+
+    def keep(batches):
+        for batch in batches:
+            bit = batch.column("run").to_numpy() % BITS
+            yield batch.filter(pa.array(known.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0))
+
+    return keep
+
+
 def _span(segment: str) -> tuple[int, ...]:
     """First batch, last batch, level and number of words of a segment."""
     return tuple(map(int, segment.split("-")))

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from presswork.llm.history import HistoryIndex, canonical_link, class_lengths, long_matches, match_length, repeats_of_history
+from presswork.llm.history import HistoryIndex, canonical_link, class_lengths, in_order, long_matches, match_length, repeats_of_history
 
 SCHEMA = "article_id bigint, batch_id int, link string, news_title string, published_date timestamp, tokens int, text_id string"
 DAY = datetime.datetime(2025, 3, 1)
@@ -64,11 +64,11 @@ def test_long_matches_find_all_runs():
     rng = np.random.default_rng(1)
     held = {"run": rng.integers(0, 40, 300), "text_id": rng.integers(0, 90, 300), "sign": np.zeros(300, np.int64), "size": np.full(300, 9)}
     asked = {"run": rng.integers(0, 50, 80), "text_id": rng.integers(100, 140, 80), "sign": np.zeros(80, np.int64), "size": np.full(80, 9)}
-    got = long_matches(pa.table(asked), pa.table(held)).to_pylist()
+    got = [r for b in long_matches(in_order(pa.table(asked)), pa.table(held)) for r in b.to_pylist()]
     wanted = Counter((q, h) for r, q in zip(asked["run"], asked["text_id"]) for k, h in zip(held["run"], held["text_id"]) if r == k)
     assert {(r["query_id"], r["text_id"]): r["runs"] for r in got} == wanted and len(got) == len(wanted)
     far = {**asked, "sign": np.full(80, -1, np.int64)}
-    assert long_matches(pa.table(far), pa.table(held)).num_rows == 0
+    assert sum(b.num_rows for b in long_matches(in_order(pa.table(far)), pa.table(held))) == 0
 
 
 def brute(rows):
@@ -86,8 +86,9 @@ def brute(rows):
     return sorted((v, k) for k, v in out.items())
 
 
-@pytest.mark.parametrize("shards", [1, 5])
-def test_repeats_against_brute_force(spark, shards):
+@pytest.mark.parametrize(("shards", "few"), [(None, 1_000_000), (5, 0)])
+def test_repeats_against_brute_force(spark, shards, few, monkeypatch):
+    monkeypatch.setattr("presswork.llm.history.ALL_KEPT", 100 if shards is None else 3)
     rng = random.Random(8)
     vocabulary = [f"w{i}" for i in range(60)]
     stories = [rng.sample(vocabulary, rng.randint(1, 18)) for _ in range(25)]
@@ -102,7 +103,7 @@ def test_repeats_against_brute_force(spark, shards):
         link = None if rng.random() < 0.1 else f"https://{rng.choice(['', 'www.'])}a.example/{rng.randrange(400)}{rng.choice(['', '/'])}"
         date = None if rng.random() < 0.05 else DAY + datetime.timedelta(hours=rng.randrange(600))
         rows.append((i, 1 + i * 7 // 500, link, title, date, 1, "x"))
-    got = repeats_of_history(spark.createDataFrame(rows, SCHEMA), shards=shards, hot_rows=40)
+    got = repeats_of_history(spark.createDataFrame(rows, SCHEMA), shards=shards, hot_rows=40, few=few)
     assert sorted(map(tuple, got.collect())) == brute(rows)
 
 
@@ -155,7 +156,7 @@ def test_the_index_is_kept_and_articles_are_not_read_again(spark, tmp_path):
     assert sorted(map(tuple, found)) == brute(rows)
     index = HistoryIndex(spark, path)
     assert [tuple(map(int, s.split("-")[:3])) for s in index.segments] == [(1, 4, 2), (5, 6, 1)]
-    assert "news_title" not in {c for part in index.PARTS for c in index._read(part).columns}
+    assert "news_title" not in index._read(index.segments).columns
 
 
 def test_a_merge_that_was_cut_off_changes_nothing(spark, tmp_path):
