@@ -21,7 +21,7 @@ from presswork.functions.similarity import core_match, letter_counts, letters_bo
 from presswork.functions.text import strip
 from presswork.operators.events import match_pairs
 from presswork.operators.pairs import WINDOW, days_apart, tagged_pairs, window_pairs
-from presswork.session import cut
+from presswork.session import cut, release
 
 
 def first_titles(rows: DataFrame, pos: str = "pos", title: str = "news_title") -> DataFrame:
@@ -43,9 +43,11 @@ def first_independent(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         heads = open_.select("pos_i").distinct().join(open_.select(F.col("pos_j").alias("pos_i")).distinct(), "pos_i", "left_anti")
         gone = cut(open_.join(heads, "pos_i", "left_semi").select(F.col("pos_j").alias("pos")).distinct())
         dropped.append(gone)
+        before = open_
         # a head's edges all lead to rows that are gone now
         rest = open_.join(gone.select(F.col("pos").alias("pos_j")), "pos_j", "left_anti")
         open_ = cut(rest.join(gone.select(F.col("pos").alias("pos_i")), "pos_i", "left_anti").select("pos_i", "pos_j"))
+        release(before)
     rows = vertices.select("pos")
     return rows.join(reduce(DataFrame.unionAll, dropped), "pos", "left_anti") if dropped else rows
 
@@ -127,7 +129,9 @@ def components(edges: DataFrame) -> DataFrame:
         # small star: a row and its smaller neighbours go to the smallest of them
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low, "b").select(F.col("m").alias("a"), F.when(F.col("a") == F.col("m"), F.col("b")).otherwise(F.col("a")).alias("b"))
+        last = stars
         stars = cut(small.unionAll(large.join(low, "b").select(F.col("m").alias("a"), "b")).filter("a <> b").distinct())
+        release(last)
         state = stars.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state == before:
             break

@@ -6,7 +6,10 @@ from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from presswork.functions.text import strip
 
 #: Facts that are extracted for each category, and for all others.
 FACTS = {
@@ -55,9 +58,15 @@ def values_match(a: str | None, b: str | None, tolerance: float = 0.1) -> bool:
     return abs(x - y) / max(x, y) <= tolerance
 
 
+def needing(kind: str, field: str, check: Check) -> Check:
+    """``check``, marked with what it needs and the engine can test: ``given``, ``value`` or ``same`` of a field."""
+    check.needs = (kind, field)
+    return check
+
+
 def name(field: str) -> Check:
     """Check: the names are given and match."""
-    return lambda f, g: names_match(f.get(field), g.get(field))
+    return needing("given", field, lambda f, g: names_match(f.get(field), g.get(field)))
 
 
 def unless_missing(field: str, alike: Callable[[str, str], bool]) -> Check:
@@ -66,11 +75,11 @@ def unless_missing(field: str, alike: Callable[[str, str], bool]) -> Check:
 
 
 def value(field: str) -> Check:
-    return unless_missing(field, values_match)
+    return needing("value", field, unless_missing(field, values_match))
 
 
 def same(field: str) -> Check:
-    return unless_missing(field, lambda a, b: _plain(a) == _plain(b))
+    return needing("same", field, unless_missing(field, lambda a, b: _plain(a) == _plain(b)))
 
 
 def nearly(field: str, least: float) -> Check:
@@ -86,7 +95,9 @@ def either(*checks: Check) -> Check:
 
 
 def given(field: str, check: Check) -> Check:
-    return lambda f, g: bool(f.get(field)) and bool(g.get(field)) and bool(_plain(f[field])) and bool(_plain(g[field])) and check(f, g)
+    return needing(
+        "given", field, lambda f, g: bool(f.get(field)) and bool(g.get(field)) and bool(_plain(f[field])) and bool(_plain(g[field])) and check(f, g)
+    )
 
 
 #: All checks of a category must hold.
@@ -117,6 +128,24 @@ def same_event(f: Facts | None, g: Facts | None, category: str | None) -> bool:
     return all(c(f, g) for c in checks) if checks else most_facts(f, g)
 
 
+def may_match(category: Column, f: Column, g: Column) -> Column:
+    """False only for pairs that some check of their category surely refuses; decided inside the JVM."""
+    refused = F.lit(False)
+    for kind, checks in RULES.items():
+        for need, field in (c.needs for c in checks if hasattr(c, "needs")):
+            a, b = f[field], g[field]
+            both = (F.coalesce(a, F.lit("")) != "") & (F.coalesce(b, F.lit("")) != "")
+            if need == "given":
+                bad = ~both
+            elif need == "value":
+                x, y = a.try_cast("double"), b.try_cast("double")
+                bad = both & (x > 0) & (y > 0) & (F.greatest(x, y) < 1e300) & (F.abs(x - y) > 0.1000001 * F.greatest(x, y))
+            else:
+                bad = both & (F.lower(strip(a)) != F.lower(strip(b))) & F.concat(a, b).rlike(r"^[\x00-\x7f]*$")
+            refused = refused | ((F.lower(category) == kind) & F.coalesce(bad, F.lit(False)))
+    return ~F.coalesce(refused, F.lit(False))
+
+
 def match_pairs(pairs: DataFrame) -> DataFrame:
     """The pairs (``pos_i``, ``pos_j``, ``category``, ``facts_i``, ``facts_j`` as maps and other columns) of the same event, without the maps."""
     kept = [c for c in pairs.columns if c not in ("facts_i", "facts_j")]
@@ -127,4 +156,5 @@ def match_pairs(pairs: DataFrame) -> DataFrame:
             hit = pa.array([same_event(dict(f or ()), dict(g or ()), c) for f, g, c in rows], pa.bool_())
             yield batch.select(kept).filter(hit)
 
-    return pairs.mapInArrow(decide, pairs.select(*kept).schema)
+    able = pairs.filter(may_match(F.col("category"), F.col("facts_i"), F.col("facts_j")))
+    return able.mapInArrow(decide, pairs.select(*kept).schema)

@@ -78,6 +78,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(*frames: DataFrame) -> None:
+    """Remove the files of frames made by ``cut``, once nothing that is still to be computed reads them."""
+    for df in frames:
+        spark = df.sparkSession
+        kept = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if kept.isDefined():
+            path = spark._jvm.org.apache.hadoop.fs.Path(kept.get())
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _shipped: set[str] = set()
 
 
