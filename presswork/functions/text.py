@@ -57,6 +57,7 @@ def html_to_text(html: Column, most: int | None = None) -> Column:
     for element in DROPPED_ELEMENTS:
         text = F.regexp_replace(text, rf"(?is)<{element}\b[^>]*>.*?</{element}\s*>", " ")
     text = F.regexp_replace(F.regexp_replace(text, r"(?s)<!--.*?-->", " "), r"(?s)<[^>]*>", " ")
+    text = F.when(F.contains(html, F.lit("<")), text).otherwise(html)  # pages saved as text have no markup
     text = F.coalesce(strip(F.regexp_replace(decode_entities(text), r"(?U)\s+", " ")), F.lit(""))
     return text if most is None else F.substring(text, 1, most)
 

@@ -80,13 +80,18 @@ def value_points(category: Column, value: Column, rules: RankRules = RULES) -> C
     return F.when(value.isNotNull() & ~F.isnan(value) & (value > 0), step).otherwise(0) * rules.value_factor
 
 
+def best_known(tiers: DataFrame) -> DataFrame:
+    """``name``, ``tier``: the last tier of each official name."""
+    return tiers.filter(F.col("competitor").isNotNull()).groupBy(strip(F.col("competitor")).alias("name")).agg(F.max("tier").alias("tier"))
+
+
 def best_tier(articles: DataFrame, row_id: str, tags: str, tiers: DataFrame, rules: RankRules = RULES) -> DataFrame:
     """``row_id``, ``competitor_tier``: the smallest tier among the tagged names, the last tier at most.
 
     ``tiers`` has ``competitor`` and ``tier`` (bounded; Spark broadcasts it if
     it is small). Names are stripped; unknown names and null tiers count as last.
     """
-    known = tiers.filter(F.col("competitor").isNotNull()).groupBy(strip(F.col("competitor")).alias("name")).agg(F.max("tier").alias("tier"))
+    known = best_known(tiers)
     named = articles.select(row_id, F.explode(split_tags(F.col(tags))).alias("name")).filter("name <> '-'")
     found = named.join(known, "name").groupBy(row_id).agg(F.min("tier").alias("tier"))
     return articles.select(row_id).join(found, row_id, "left").select(
@@ -98,15 +103,25 @@ def rank_score(articles: DataFrame, row_id: str, tiers: DataFrame, rules: RankRu
     """The five factors and their sum for each row (``relevance_score``, ``category_tag``, ``competitor_tagging``,
     ``sbu_tagging``, ``geography``, ``contract_value_inr_crore``)."""
     scored = articles.join(best_tier(articles, row_id, "competitor_tagging", tiers, rules).withColumnRenamed("competitor_tier", "_tier"), row_id)
+    points = points_of(rules)
+    typed = scored.select(row_id, F.col("_tier").cast("bigint").alias("competitor_tier"), *[c.alias(n) for n, c in points.items()])
+    return typed.withColumn("rank_score", sum_of([F.col(n) for n in points]))
+
+
+def points_of(rules: RankRules = RULES, tier: str = "_tier") -> dict[str, Column]:
+    """The five factors by name, from the columns that ``rank_score`` reads and the column ``tier``."""
     points = {
         "category_points": category_points(F.col("category_tag"), rules),
         "relevance_points": F.coalesce(F.col("relevance_score"), F.lit(rules.default_relevance)),
-        "competitor_points": (rules.last_tier + 1 - F.col("_tier")) * rules.tier_factor,
+        "competitor_points": (rules.last_tier + 1 - F.col(tier)) * rules.tier_factor,
         "geography_points": place_points(F.col("sbu_tagging"), F.col("geography"), rules),
         "value_points": value_points(F.col("category_tag"), F.col("contract_value_inr_crore"), rules),
     }
-    typed = scored.select(row_id, F.col("_tier").cast("bigint").alias("competitor_tier"), *[c.cast("bigint").alias(n) for n, c in points.items()])
+    return {n: c.cast("bigint") for n, c in points.items()}
+
+
+def sum_of(points: list[Column]) -> Column:
     total = F.lit(0).cast("bigint")
-    for name in points:
-        total = total + F.col(name)
-    return typed.withColumn("rank_score", total)
+    for factor in points:
+        total = total + factor
+    return total

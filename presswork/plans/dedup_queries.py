@@ -189,6 +189,5 @@ def dedup_phase2(spark, sf_dir):
 @registry.query("enrich_queue")
 def enrich_queue(spark, sf_dir):
     """The queue scored, and what of it was analysed."""
-    steps = pipeline.run(spark, table(spark, sf_dir, "raw_scraped_articles"), table(spark, sf_dir, "competitors"))
-    done_ = steps.analysed.select("id", "category_tag", "competitor_tagging", "rank_score")
-    return steps.scored.select("id", "relevance_score").join(done_, "id", "left")
+    done_ = pipeline.analyse(table(spark, sf_dir, "raw_scraped_articles"), table(spark, sf_dir, "competitors"))
+    return done_.select("id", "relevance_score", "category_tag", "competitor_tagging", "rank_score")

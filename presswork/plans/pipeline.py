@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from presswork.functions.text import coerce_number, first_given, html_to_text, json_object_text, parse_score, real_tags
 from presswork.operators.dedup import event_dedup, title_dedup
-from presswork.operators.dictionary import alias_table, keyword_dict, keyword_table, normalize_tags, resolve_names, tag_contained
+from presswork.operators.dictionary import alias_table, collect_bounded, keyword_dict, keyword_table, tag_contained, with_names_and_tiers
 from presswork.operators.ordering import with_position
-from presswork.operators.rank import rank_score
+from presswork.operators.rank import RULES, best_known, points_of, sum_of
 from presswork.plans.services import Model, OfflineModel, call
 from presswork.session import cut
 from presswork.sources.feeds import collected, fetch_pages, first_per_link
@@ -37,7 +37,11 @@ class Steps:
 
 def analysed_fields(reply):
     """Fields of an analysis reply; an unreadable one, or one that lacks a key, gives an error record."""
-    text = json_object_text(reply)
+    return fields_of(json_object_text(reply))
+
+
+def fields_of(text: Column) -> Column:
+    """As ``analysed_fields``, for the object in a reply."""
     parsed = F.from_json(text, ", ".join(f"{k} string" for k in REQUIRED))
     ok = F.coalesce(F.size(F.array_except(F.array(*map(F.lit, REQUIRED)), F.json_object_keys(text))) == 0, F.lit(False))
     return F.when(ok, parsed).otherwise(
@@ -48,14 +52,48 @@ def analysed_fields(reply):
     )
 
 
-def with_pages(rows: DataFrame, queue: DataFrame, fetch: Callable[[str], str] | None = None) -> DataFrame:
-    """``rows`` with ``content``, the text of each one's page: fetched by its link, else the queue's; empty where there is none."""
+def paged(rows: DataFrame, fetch: Callable[[str], str]) -> DataFrame:
+    """``rows`` with ``html``, the page behind each one's link; null where there is no link."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.join(fetch_pages(rows, fetch, partitions), "link", "left")
+
+
+#: Columns of an analysed item.
+ANALYSED = (
+    "id", "news_title", "link", "source", "published_date", "relevance_score", "sbu_tagging", "category_tag", "summary", "geography",
+    "contract_value_inr_crore", "competitor_tagging", "competitor_tier", "rank_score",
+)
+
+
+def analyse(queue: DataFrame, competitors: DataFrame, model: Model | None = None, fetch: Callable[[str], str] | None = None) -> DataFrame:
+    """The items of the queue with ``relevance_score`` and, where it is high, the columns of the analysis; null elsewhere.
+
+    One pass over the queue without a shuffle. With ``fetch`` the pages of the items to be analysed are fetched in
+    between, and ``scraped_content`` says what is stored of them.
+    """
+    model = model or OfflineModel()
+    replied = call(queue if fetch is None else queue.drop("content"), model.score, ["news_title", "competitor"])
+    scored = replied.withColumn("relevance_score", parse_score(F.col("reply"))).drop("reply")
+    high = F.col("relevance_score") >= RELEVANT
     if fetch is None:
-        paged = rows.join(queue.select("id", F.col("content").alias("html")), "id", "left")
+        pages = scored.withColumnRenamed("content", "html")
     else:
-        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        paged = rows.join(fetch_pages(rows, fetch, partitions), "link", "left")
-    return paged.withColumn("content", html_to_text(F.col("html"), PAGE)).drop("html")
+        scored = cut(scored)
+        pages = paged(scored.filter(high), fetch).unionByName(scored.filter(~high).withColumn("html", F.lit(None).cast("string")))
+    texts = pages.withColumn("content", F.when(high, html_to_text(F.col("html"), PAGE))).drop("html")
+    shown = texts.withColumn("shown", F.when(F.col("content") != "", F.substring("content", 1, SHOWN)).otherwise(F.col("news_title")))
+    asked = call(shown.withColumn("high", high), model.analyse, ["news_title", "shown", "relevance_score"], only="high")
+    given = [c for c in scored.columns if c != "content"]
+    kept = [] if fetch is None else [F.substring("content", 1, STORED).alias("scraped_content")]
+    read = asked.withColumn("json", json_object_text(F.col("reply"))).withColumn("f", F.when(high, fields_of(F.col("json")))).select(
+        *given, *kept, F.when(high, first_given(F.col("f.competitor_tagging"), F.col("competitor"), F.lit("-"))).alias("_tags"),
+        "f.sbu_tagging", "f.category_tag", "f.summary", "f.geography",
+        coerce_number(F.col("f.contract_value_inr_crore")).alias("contract_value_inr_crore"),
+    )
+    tiers = {r["name"]: r["tier"] for r in collect_bounded(best_known(competitors)) if r["tier"] is not None}
+    named = with_names_and_tiers(read, "_tags", alias_table(competitors), tiers, RULES.last_tier).drop("_tags")
+    ranked = named.withColumn("rank_score", sum_of([*points_of(tier="competitor_tier").values()]))
+    return ranked.withColumns({c: F.when(high, F.col(c)) for c in ("competitor_tagging", "competitor_tier", "rank_score")})
 
 
 def run(
@@ -67,33 +105,24 @@ def run(
     items that are analysed and again for those that are left after titles.
     """
     model = model or OfflineModel()
-    ordered = with_position(queue.drop("content"), F.desc_nulls_first("published_date"), F.asc("id"))
-    replied = call(ordered, model.score, ["news_title", "competitor"])
-    scored = cut(replied.withColumn("relevance_score", parse_score(F.col("reply"))).drop("reply"))
-    high = scored.filter(F.col("relevance_score") >= RELEVANT)
-    paged = with_pages(high, queue, fetch).withColumn("shown", F.when(F.col("content") != "", F.substring("content", 1, SHOWN)).otherwise(F.col("news_title")))
-    asked = call(paged, model.analyse, ["news_title", "shown", "relevance_score"])
-    fields = asked.withColumn("f", analysed_fields(F.col("reply"))).select(
-        "pos", "id", "news_title", "link", "source", "published_date", "relevance_score",
-        first_given(F.col("f.competitor_tagging"), F.col("competitor"), F.lit("-")).alias("tags"),
-        "f.sbu_tagging", "f.category_tag", "f.summary", "f.geography", F.substring("content", 1, STORED).alias("scraped_content"),
-        coerce_number(F.col("f.contract_value_inr_crore")).alias("contract_value_inr_crore"),
-    )
-    fields = cut(fields)
-    aliases = alias_table(competitors)
-    named = normalize_tags(fields, "id", "tags", lambda names: resolve_names(names, aliases))
-    tagged = fields.drop("scraped_content").join(named.withColumnRenamed("normalized", "competitor_tagging"), "id").drop("tags")
-    scores = rank_score(tagged, "id", competitors).select("id", "competitor_tier", "rank_score")
-    analysed = cut(tagged.join(scores, "id"))
+    done = cut(analyse(queue, competitors, model, fetch))
+    high = done.filter(F.col("relevance_score") >= RELEVANT)
+    analysed = high.select(*ANALYSED)
     # titles
-    dense = with_position(analysed.drop("pos"), F.desc_nulls_first("published_date"), F.asc("id"))
-    kept = title_dedup(dense.withColumn("names", F.col("competitor_tagging")))
-    after_titles = cut(dense.join(kept, "pos", "left_semi"))
+    titles = analysed.select("id", "news_title", "published_date", F.col("competitor_tagging").alias("names"))
+    dense = with_position(titles, F.desc_nulls_first("published_date"), F.asc("id"))
+    left = cut(dense.select("id", "pos").join(title_dedup(dense), "pos", "left_semi"))
+    after_titles = analysed.join(left, "id")
     # events
-    again = with_pages(after_titles, queue, fetch).join(fields.select("id", "scraped_content"), "id")
-    known = with_facts(again.withColumn("content", F.when(F.col("link").isNotNull(), F.col("content")).otherwise(F.col("scraped_content"))), model)
+    if fetch is None:
+        again = after_titles.join(queue.select("id", F.col("content").alias("html")), "id", "left").withColumn("content", html_to_text(F.col("html"), PAGE))
+        again = again.withColumn("scraped_content", F.substring("content", 1, STORED))
+    else:
+        again = paged(high.select(*ANALYSED, "scraped_content").join(left, "id"), fetch).withColumn("content", html_to_text(F.col("html"), PAGE))
+    again = again.withColumn("content", F.when(F.col("link").isNotNull(), F.col("content")).otherwise(F.col("scraped_content")))
+    known = with_facts(again.drop("html"), model)
     final = known.join(event_dedup(known), "pos", "left_semi")
-    return Steps(scored, analysed, after_titles, stored_columns(final))
+    return Steps(done.select(*[c for c in queue.columns if c != "content"], "relevance_score"), analysed, after_titles, stored_columns(final))
 
 
 def with_facts(rows: DataFrame, model: Model | None = None) -> DataFrame:
