@@ -13,16 +13,23 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presswork.functions.numbers import extract_numbers, similar_numbers
-from presswork.functions.similarity import core_match, letter_counts, letters_bound, ratio_bound, sequence_ratio, title_words
+from presswork.functions.numbers import extract_numbers
+from presswork.functions.similarity import title_words
 from presswork.functions.text import strip
-from presswork.operators.events import match_pairs
-from presswork.operators.pairs import WINDOW, days_apart, tagged_pairs, window_pairs
+from presswork.operators.alike import pairs_of_run
+from presswork.operators.events import pairs_of_cells
+from presswork.operators.pairs import DAY, WINDOW
 from presswork.session import cut, release
 
+#: Positions in one run, in which pairs of titles are found.
+RUN = 4_000
+#: Buckets for the guests of rows without a date, and parts of cells for each partition of a shuffle.
+BUCKETS, PARTS = 8, 8
+
 
 def first_titles(rows: DataFrame, pos: str = "pos", title: str = "news_title") -> DataFrame:
     """``pos`` of the first row of each title (stripped, case ignored). Null titles are equal to each other."""
@@ -58,49 +65,35 @@ def title_matches(rows: DataFrame, ratio: float | None = 0.85, window: int = WIN
     At most 3 days apart, and more than ``ratio`` alike in their titles, or
     with the same names and similar numbers within 1 day, or the same names
     and core words within 2 days. ``rows`` has ``pos``, ``news_title``,
-    ``names`` (as one text) and ``published_date``. Features are made once per
-    row. The rules on names join rows of equal names only; for the ratio only
-    lengths and letters go into the windows, and cheap bounds go before it.
+    ``names`` (as one text) and ``published_date``. Rows go to runs of
+    positions, each with the rows that the windows of its last ones hold, and
+    the pairs of a run are found in one place, so that none is shuffled.
     ``ratio=None`` leaves the ratio out, ``rules=False`` the rules on names. A
     null date passes the 3 days but none of the shorter spans.
     """
     low = F.lower(F.coalesce("news_title", F.lit("none")))
-    featured = cut(
-        rows.select(
-            "pos",
-            low.alias("title"),
-            F.length(low).alias("length"),
-            letter_counts(low).alias("letters"),
-            extract_numbers(low).alias("numbers"),
-            title_words(low).alias("words"),
-            F.lower(F.coalesce("names", F.lit(""))).alias("names"),
-            F.col("published_date").alias("date"),
-        )
+    size = max(RUN, window + 1)
+    run = F.floor((F.col("pos") - 1) / size)
+    # a run also has the rows that the windows of its last rows hold
+    runs = F.array_compact(F.array(run, F.when((F.col("pos") - 1) % size < window, run - 1)))
+    featured = rows.select(
+        F.explode(runs).alias("run"),
+        "pos",
+        low.alias("title"),
+        F.unix_micros("published_date").alias("date"),
+        F.lower(F.coalesce("names", F.lit(""))).alias("names"),
+        *([extract_numbers(low).alias("numbers"), title_words(low).alias("words")] if rules else []),
     )
-    found = []
-    if rules:
-        named = featured.filter(~F.col("names").isin("", "-"))
-        beside = window_pairs(named, window=window, columns=("numbers", "words", "date"), same=("names",))
-        beside = beside.withColumn("days", days_apart(F.col("date_i"), F.col("date_j")))
-        by_rule = (similar_numbers(F.col("numbers_i"), F.col("numbers_j")) & (F.col("days") <= 1)) | (
-            core_match(F.col("words_i"), F.col("words_j")) & (F.col("days") <= 2)
-        )
-        found.append(beside.filter(by_rule).select("pos_i", "pos_j"))
-    if ratio is not None:
-        near = window_pairs(featured, window=window, columns=("length", "letters", "date"))
-        near = near.filter(F.coalesce(days_apart(F.col("date_i"), F.col("date_j")), F.lit(0)) <= 3)
-        near = near.filter(2 * F.least("length_i", "length_j") / F.greatest(F.col("length_i") + F.col("length_j"), F.lit(1)) > ratio)
-        able = near.filter(letters_bound(F.col("letters_i"), F.col("letters_j"), F.col("length_i"), F.col("length_j")) > ratio)
-        titles = featured.select("pos", "title")
-        asked = (
-            able.select("pos_i", "pos_j")
-            .join(titles.select(F.col("pos").alias("pos_i"), F.col("title").alias("title_i")), "pos_i")
-            .join(titles.select(F.col("pos").alias("pos_j"), F.col("title").alias("title_j")), "pos_j")
-            .filter(ratio_bound(F.col("title_i"), F.col("title_j")) > ratio)
-            .filter(sequence_ratio(F.col("title_i"), F.col("title_j")) > ratio)
-        )
-        found.append(asked.select("pos_i", "pos_j"))
-    return reduce(DataFrame.unionAll, found).distinct()
+
+    def matched(table: pa.Table) -> pa.Table:
+        table = table.sort_by("pos")
+        columns = {c: pa.concat_arrays(table.column(c).chunks) for c in table.column_names}
+        own = int(((columns["pos"].to_numpy() - 1) // size == columns["run"][0].as_py()).sum())
+        pos_i, pos_j = pairs_of_run(columns, own, window, ratio, rules)
+        return pa.table({"pos_i": pa.array(pos_i, pa.int64()), "pos_j": pa.array(pos_j, pa.int64())})
+
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return featured.repartition(partitions, "run").groupBy("run").applyInArrow(matched, "pos_i bigint, pos_j bigint")
 
 
 def title_dedup(rows: DataFrame, ratio: float | None = 0.85, window: int = WINDOW) -> DataFrame:
@@ -110,11 +103,7 @@ def title_dedup(rows: DataFrame, ratio: float | None = 0.85, window: int = WINDO
     neither lead nor are dropped again.
     """
     kept = cut(first_titles(rows))
-    edges = title_matches(rows, ratio, window)
-    live = edges.join(kept.select(F.col("pos").alias("pos_i")), "pos_i", "left_semi").join(
-        kept.select(F.col("pos").alias("pos_j")), "pos_j", "left_semi"
-    )
-    return first_independent(kept, live)
+    return first_independent(kept, title_matches(rows.join(kept, "pos", "left_semi"), ratio, window))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -156,13 +145,46 @@ def replay(edges: list[tuple[int, int, int, float, float]]) -> set[int]:
 
 def event_matches(rows: DataFrame, days: int = 3) -> DataFrame:
     """``pos_i``, ``pos_j``, ``group_rank``, ``score_i``, ``score_j`` of rows of one tag and category, at most ``days`` apart,
-    that tell of the same event. ``rows`` as in ``event_dedup``."""
-    pairs = tagged_pairs(rows, F.col("tags"), F.col("category_tag"), "pos", "published_date", days)
-    facts = rows.select("pos", "facts", F.coalesce(F.nanvl(F.col("score").cast("double"), F.lit(0.0)), F.lit(0.0)).alias("score"), "category_tag")
-    joined = pairs.join(
-        facts.select(F.col("pos").alias("pos_i"), F.col("facts").alias("facts_i"), F.col("score").alias("score_i"), F.col("category_tag").alias("category")), "pos_i"
-    ).join(facts.select(F.col("pos").alias("pos_j"), F.col("facts").alias("facts_j"), F.col("score").alias("score_j")), "pos_j")
-    return match_pairs(joined.select("pos_i", "pos_j", "group_rank", "score_i", "score_j", "category", "facts_i", "facts_j")).drop("category")
+    that tell of the same event. ``rows`` as in ``event_dedup``.
+
+    ``group_rank`` is as in ``tagged_pairs``. Rows are put into cells, and the pairs of a cell are formed and decided in one place,
+    so that neither they nor the facts of their rows are shuffled."""
+    base = rows.select(
+        "pos",
+        F.unix_micros("published_date").alias("ts"),
+        F.lower(F.coalesce("category_tag", F.lit(""))).alias("category"),
+        F.coalesce(F.nanvl(F.col("score").cast("double"), F.lit(0.0)), F.lit(0.0)).alias("score"),
+        "facts",
+        F.explode(F.when(F.size("tags") > 0, F.array_distinct("tags")).otherwise(F.array(F.lit("General")))).alias("tag"),
+    )
+    first = base.groupBy("tag").agg(F.min("pos").alias("group_rank"))
+    # a cell has some days of a tag and category as its own rows, and those of the next ones as guests; the rows without a date
+    # own cells in which all rows are guests, each in one of a number of buckets
+    block = F.floor(F.col("ts") / (DAY * (days + 1)))
+    none, bucket = F.lit(None).cast("bigint"), F.pmod("pos", F.lit(BUCKETS)).cast("int")
+
+    def cell(block: Column, bucket: Column, own: bool) -> Column:
+        return F.struct(block.alias("block"), bucket.alias("bucket"), F.lit(own).alias("own"))
+
+    guest = cell(none, bucket, False)
+    dated = F.array(cell(block, F.lit(0), True), cell(block - 1, F.lit(0), False), guest)
+    undated = F.array(*[cell(none, F.lit(b), True) for b in range(BUCKETS)], guest)
+    placed = base.withColumn("cell", F.explode(F.when(F.col("ts").isNotNull(), dated).otherwise(undated))).select(
+        *base.columns, "cell.*"
+    )
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64("tag", "category", "block", "bucket"), F.lit(partitions * PARTS))
+
+    def matched(table: pa.Table) -> pa.Table:
+        columns = {c: pa.concat_arrays(table.column(c).chunks) for c in table.column_names}
+        pos, score, tag = columns["pos"].to_numpy(), columns["score"].to_numpy(), columns["tag"]
+        found = [pa.table([pos[i], pos[j], tag.take(pa.array(i)), score[i], score[j]], schema=schema) for i, j in pairs_of_cells(columns, days)]
+        return pa.concat_tables(found) if found else schema.empty_table()
+
+    schema = pa.schema([("pos_i", pa.int64()), ("pos_j", pa.int64()), ("tag", pa.string()), ("score_i", pa.float64()), ("score_j", pa.float64())])
+    told = placed.withColumn("part", part).repartition(partitions, "part").groupBy("part")
+    pairs = told.applyInArrow(matched, "pos_i bigint, pos_j bigint, tag string, score_i double, score_j double").join(first, "tag")
+    return pairs.groupBy("pos_i", "pos_j").agg(F.min("group_rank").alias("group_rank"), F.first("score_i").alias("score_i"), F.first("score_j").alias("score_j"))
 
 
 def event_dedup(rows: DataFrame, days: int = 3) -> DataFrame:

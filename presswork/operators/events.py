@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +32,18 @@ Facts = dict[str, str | None]
 Check = Callable[[Facts, Facts], bool]
 
 
+@lru_cache(maxsize=100_000)
 def ratio(a: str, b: str) -> float:
     """Ratcliff-Obershelp likeness."""
     return SequenceMatcher(None, a, b).ratio()
 
 
+def above(a: str, b: str, least: float) -> bool:
+    """Whether two texts are more than ``least`` alike; their lengths may already refuse it."""
+    both = len(a) + len(b)
+    return (not both or 2.0 * min(len(a), len(b)) / both > least) and ratio(a, b) > least
+
+
 def _plain(value: str | None) -> str:
     return str(value).lower().strip() if value is not None else ""
 
@@ -44,7 +53,7 @@ def names_match(a: str | None, b: str | None, least: float = 0.8) -> bool:
     if not a or not b:
         return False
     x, y = _plain(a), _plain(b)
-    return x in y or y in x or ratio(x, y) > least
+    return x in y or y in x or above(x, y, least)
 
 
 def values_match(a: str | None, b: str | None, tolerance: float = 0.1) -> bool:
@@ -58,10 +67,16 @@ def values_match(a: str | None, b: str | None, tolerance: float = 0.1) -> bool:
     return abs(x - y) / max(x, y) <= tolerance
 
 
+def reading(field: str, check: Check) -> Check:
+    """``check``, marked with the only field that it reads."""
+    check.field = field
+    return check
+
+
 def needing(kind: str, field: str, check: Check) -> Check:
     """``check``, marked with what it needs and the engine can test: ``given``, ``value`` or ``same`` of a field."""
     check.needs = (kind, field)
-    return check
+    return reading(field, check)
 
 
 def name(field: str) -> Check:
@@ -71,7 +86,7 @@ def name(field: str) -> Check:
 
 def unless_missing(field: str, alike: Callable[[str, str], bool]) -> Check:
     """Check: alike, or missing on either side."""
-    return lambda f, g: not f.get(field) or not g.get(field) or alike(f[field], g[field])
+    return reading(field, lambda f, g: not f.get(field) or not g.get(field) or alike(f[field], g[field]))
 
 
 def value(field: str) -> Check:
@@ -83,7 +98,7 @@ def same(field: str) -> Check:
 
 
 def nearly(field: str, least: float) -> Check:
-    return unless_missing(field, lambda a, b: not _plain(a) or not _plain(b) or ratio(_plain(a), _plain(b)) > least)
+    return unless_missing(field, lambda a, b: not _plain(a) or not _plain(b) or above(_plain(a), _plain(b), least))
 
 
 def inside(field: str) -> Check:
@@ -91,7 +106,11 @@ def inside(field: str) -> Check:
 
 
 def either(*checks: Check) -> Check:
-    return lambda f, g: any(c(f, g) for c in checks)
+    def check(f: Facts, g: Facts) -> bool:
+        return any(c(f, g) for c in checks)
+
+    check.parts = checks
+    return check
 
 
 def given(field: str, check: Check) -> Check:
@@ -115,7 +134,7 @@ RULES: dict[str, tuple[Check, ...]] = {
 def most_facts(f: Facts, g: Facts, share: float = 0.6, least: float = 0.75) -> bool:
     """Of the facts of ``f`` given on both sides, ``share`` are equal or more than ``least`` alike; none given is no match."""
     both = [k for k in f if f[k] and g.get(k)]
-    hits = sum(1 for k in both if _plain(f[k]) == _plain(g[k]) or ratio(_plain(f[k]), _plain(g[k])) > least)
+    hits = sum(1 for k in both if _plain(f[k]) == _plain(g[k]) or above(_plain(f[k]), _plain(g[k]), least))
     return bool(both) and hits / len(both) >= share
 
 
@@ -128,6 +147,115 @@ def same_event(f: Facts | None, g: Facts | None, category: str | None) -> bool:
     return all(c(f, g) for c in checks) if checks else most_facts(f, g)
 
 
+class Records:
+    """Facts of many rows, each field as codes of its distinct values, so that a check is asked once for a pair of values."""
+
+    def __init__(self, facts: list[Facts]):
+        self.given = np.array([bool(f) for f in facts], dtype=bool)
+        self.values: dict[str, list[str | None]] = {}
+        self.codes: dict[str, np.ndarray] = {}
+        known: dict[str, dict[str | None, int]] = {}
+        for row, record in enumerate(facts):
+            for field, value in record.items():
+                if field not in known:
+                    known[field], self.codes[field] = {None: 0}, np.zeros(len(facts), dtype="int64")
+                self.codes[field][row] = known[field].setdefault(value, len(known[field]))
+        self.values = {field: list(codes) for field, codes in known.items()}
+
+    def ask(self, field: str, check: Callable[[str | None, str | None], bool], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """``check`` of the values of a field in each pair of rows."""
+        values = self.values.get(field, [None])
+        codes = self.codes.get(field, np.zeros(len(self.given), dtype="int64"))
+        pairs, at = np.unique(codes[i] * len(values) + codes[j], return_inverse=True)
+        return np.array([bool(check(values[p // len(values)], values[p % len(values)])) for p in pairs.tolist()], dtype=bool)[at]
+
+    def holds(self, check: Check, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        if hasattr(check, "parts"):
+            return np.any([self.holds(part, i, j) for part in check.parts], axis=0)
+        return self.ask(check.field, lambda a, b: check({check.field: a}, {check.field: b}), i, j)
+
+    def same_events(self, category: str, i: np.ndarray, j: np.ndarray, share: float = 0.6, least: float = 0.75) -> np.ndarray:
+        """``same_event`` of each pair of rows of one category."""
+        open_ = np.nonzero(self.given[i] & self.given[j])[0]
+        checks = RULES.get(category.lower())
+        if checks:
+            for check in checks:
+                if len(open_):
+                    open_ = open_[self.holds(check, i[open_], j[open_])]
+        elif len(open_):
+            a, b = i[open_], j[open_]
+            both, hits = np.zeros(len(open_), dtype="int64"), np.zeros(len(open_), dtype="int64")
+            for field in self.values:
+                told = np.nonzero(self.ask(field, lambda x, y: x and y, a, b))[0]
+                both[told] += 1
+                if len(told):
+                    hits[told] += self.ask(field, lambda x, y: _plain(x) == _plain(y) or above(_plain(x), _plain(y), least), a[told], b[told])
+            open_ = open_[(both > 0) & (hits / np.maximum(both, 1) >= share)]
+        out = np.zeros(len(i), dtype=bool)
+        out[open_] = True
+        return out
+
+
+#: Pairs that are decided at a time.
+AT_ONCE = 500_000
+DAY = 86_400_000_000
+
+
+def near_pairs(cell: np.ndarray, timeless: np.ndarray, own: np.ndarray, pos: np.ndarray, ts: np.ndarray, dated: np.ndarray, days: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one cell, the smaller position first, that are at most ``days`` apart or lack a date.
+
+    Own rows meet each other and the guests of their cell. Where own rows are ``timeless`` (they lack a date), they are guests of
+    their cell as well, so only guests are met, and each pair of two rows without date once.
+    """
+    order = np.lexsort((~own, cell))  # own rows first, so that no two guests meet
+    ends = np.searchsorted(cell[order], cell[order], side="right")
+    active, k = np.nonzero(own[order])[0], 0
+    while True:
+        k += 1
+        active = active[active + k < ends[active]]
+        if not len(active):
+            return
+        a, b = order[active], order[active + k]
+        gap = np.abs(np.where(pos[a] < pos[b], ts[a] - ts[b], ts[b] - ts[a]) // DAY)
+        ok = np.where(timeless[a], ~own[b] & (dated[b] | (pos[a] < pos[b])), gap <= days)
+        a, b = a[ok], b[ok]
+        turned = pos[a] > pos[b]
+        yield np.where(turned, b, a), np.where(turned, a, b)
+
+
+def pairs_of_cells(part: dict[str, pa.Array], days: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The rows of each pair of the same event in a number of whole cells (columns as in ``event_matches``)."""
+    own = part["own"].to_numpy(zero_copy_only=False)
+    pos, ts, dated = part["pos"].to_numpy(), part["ts"].fill_null(0).to_numpy(), part["ts"].is_valid().to_numpy(zero_copy_only=False)
+    timeless = part["block"].is_null().to_numpy(zero_copy_only=False)
+    kinds = part["category"].dictionary_encode()
+    names, kind = kinds.dictionary.to_pylist(), kinds.indices.to_numpy()
+    keys = [part["tag"].dictionary_encode().indices.to_numpy(), kind, timeless, part["block"].fill_null(0).to_numpy(), part["bucket"].to_numpy()]
+    _, cell = np.unique(np.stack([k.astype("int64") for k in keys]), axis=1, return_inverse=True)
+    cell = cell.reshape(-1)
+    met = (np.bincount(cell, own)[cell] > 0) & (np.bincount(cell)[cell] > 1)
+    used = np.nonzero(met)[0]
+    records = Records([dict(f or ()) for f in part["facts"].take(pa.array(used, pa.int64())).to_pylist()])
+
+    def decided(near: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        i, j = map(np.concatenate, zip(*near))
+        for at, name_ in enumerate(names):
+            own_kind = np.nonzero(kind[used[i]] == at)[0]
+            if len(own_kind):
+                hit = own_kind[records.same_events(name_, i[own_kind], j[own_kind])]
+                yield used[i[hit]], used[j[hit]]
+
+    near, waiting = [], 0
+    for i, j in near_pairs(*(x[used] for x in (cell, timeless, own, pos, ts, dated)), days):
+        near.append((i, j))
+        waiting += len(i)
+        if waiting >= AT_ONCE:
+            yield from decided(near)
+            near, waiting = [], 0
+    if near:
+        yield from decided(near)
+
+
 def may_match(category: Column, f: Column, g: Column) -> Column:
     """False only for pairs that some check of their category surely refuses; decided inside the JVM."""
     refused = F.lit(False)
