@@ -193,7 +193,7 @@ def event_dedup(rows: DataFrame, days: int = 3) -> DataFrame:
     ``rows`` has ``pos``, ``tags`` (array), ``category_tag``, ``published_date``,
     ``score`` and ``facts`` (map). Only rows of one tag and category at most
     ``days`` apart are compared; null and NaN scores count as 0. A component of
-    matches is replayed as one unit, and matches join only reports of the same
+    matches is replayed in one place, and matches join only reports of the same
     event.
     """
     matched = cut(event_matches(rows, days))
@@ -203,5 +203,8 @@ def event_dedup(rows: DataFrame, days: int = 3) -> DataFrame:
         edges = list(group[["group_rank", "pos_i", "pos_j", "score_i", "score_j"]].itertuples(index=False, name=None))
         return pd.DataFrame({"pos": sorted(replay(edges))}, dtype="int64")
 
-    gone = owned.groupBy("component").applyInPandas(run, "pos bigint")
+    # several components at a time: they don't touch each other, so one scan over their matches is each one's scan
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64("component"), F.lit(partitions * PARTS)).alias("part")
+    gone = owned.groupBy(part).applyInPandas(run, "pos bigint")
     return rows.select("pos").join(gone, "pos", "left_anti")

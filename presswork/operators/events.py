@@ -38,10 +38,32 @@ def ratio(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
 
+@lru_cache(maxsize=20_000)
+def _places(text: str) -> dict[str, int]:
+    """The places of each character as bits."""
+    found: dict[str, int] = {}
+    for at, character in enumerate(text):
+        found[character] = found.get(character, 0) | 1 << at
+    return found
+
+
+def common_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence, which the matching blocks of a likeness don't exceed."""
+    places = _places(a)
+    whole = unmatched = (1 << len(a)) - 1
+    for character in b:
+        met = unmatched & places.get(character, 0)
+        if met:
+            unmatched = ((unmatched + met) | (unmatched - met)) & whole
+    return len(a) - unmatched.bit_count()
+
+
 def above(a: str, b: str, least: float) -> bool:
-    """Whether two texts are more than ``least`` alike; their lengths may already refuse it."""
+    """Whether two texts are more than ``least`` alike; their lengths or their common subsequence may already refuse it."""
     both = len(a) + len(b)
-    return (not both or 2.0 * min(len(a), len(b)) / both > least) and ratio(a, b) > least
+    if both and not (2.0 * min(len(a), len(b)) / both > least and 2.0 * common_length(a, b) / both > least):
+        return False
+    return ratio(a, b) > least
 
 
 def _plain(value: str | None) -> str:

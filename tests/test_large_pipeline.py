@@ -94,3 +94,18 @@ def test_events_of_many_rows_equal_single_decisions(spark):
     plan = event_matches(frame)
     assert sorted(tuple(r)[:3] for r in plan.select("pos_i", "pos_j", "group_rank").collect()) == sorted(wanted)
     assert plan._jdf.queryExecution().analyzed().toString().count("Join") == 1
+
+
+def test_common_length_bounds_the_likeness():
+    import random
+    from difflib import SequenceMatcher
+
+    from presswork.operators.events import above, common_length
+
+    rng = random.Random(9)
+    assert common_length("abcbdab", "bdcaba") == 4 and common_length("", "a") == 0
+    for _ in range(400):
+        a, b = ("".join(rng.choice("abc ") for _ in range(rng.randint(0, 90))) for _ in range(2))
+        b = b if rng.random() < 0.5 else a[: len(a) // 2] + b[:9] + a[len(a) // 2 :]
+        for least in (0.7, 0.75, 0.8):
+            assert above(a, b, least) == (SequenceMatcher(None, a, b).ratio() > least)
