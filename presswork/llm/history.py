@@ -4,12 +4,13 @@ The text of a record is the sorted sequence of the hashed distinct words of
 its title; a second text holds the canonical link. For each batch an immutable
 segment is stored: the suffixes of its concatenated texts, cut at the
 guaranteed match length and sorted; the texts themselves; and the articles
-that can be a first one. Segments of equal level are merged, so there are
-O(log batches) of them. A new batch reads the part of the index near its dates
-and never the articles of earlier batches: its own suffixes are sorted, and the
-stored ones are looked up among them by binary search. The long matches are
-counted for each pair of records (their coverage), and pairs covered enough are
-compared by their whole sets of hashed words. Links found so are the same page
+that can be a first one. Segments of equal level are merged, all at once with
+the batch that completes them, so there are O(log batches) of them. A new batch
+reads the part of the index near its dates and never the articles of earlier
+batches: its own suffixes are sorted, and the stored ones are looked up among
+them by binary search. The long matches are counted for each pair of records
+(their coverage), and pairs covered enough are compared by their whole sets of
+hashed words. Links found so are the same page
 only if their canonical texts are equal.
 
 Guaranteed match length: two sorted word sequences with ``s`` shared words and
@@ -269,12 +270,13 @@ class HistoryIndex:
             .withColumn("sign", F.expr("aggregate(tokens, 0L, (a, t) -> a | shiftleft(1L, int(pmod(hash(t), 64))))"))
         )
         own = F.when(F.col("bucket") != LINKS, F.col("bucket"))
-        first, last, words, most = texts.agg(F.min(own), F.max(own), F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+        counts = [F.sum("size"), F.max("n"), F.sum(self._asks())]
+        first, last, words, most, asks = texts.agg(F.min(own), F.max(own), *(F.coalesce(c, F.lit(0)) for c in counts)).first()
         hot = most >= self.hot_rows
         found = self.spark.createDataFrame([], "first_id bigint, article_id bigint")
         self._sent = []
         if self.segments:
-            found = cut(self._lookup(rows, texts, (first, last), words, hot))
+            found = cut(self._lookup(rows, texts, (first, last), words, hot, asks))
         self._add(rows, texts, words, most)
         release(rows, texts, *([self._covered] if self._sent else []))
         for value in self._sent:
@@ -286,21 +288,30 @@ class HistoryIndex:
         self._sent.append(self.spark.sparkContext.broadcast(value))
         return self._sent[-1]
 
-    def _lookup(self, rows: DataFrame, texts: DataFrame, span: tuple[int | None, int | None], words: int, hot: bool) -> DataFrame:
-        """The repeats among ``rows``; ``span`` has the first and last bucket of their titles."""
+    def _probes(self) -> tuple[Column, Column]:
+        """The match lengths and the steps to other buckets that a text of a batch is looked up with."""
+        # a text so alike is of the same class of sizes or a neighbouring one
+        lengths = _lengths(_class(F.col("size"), self.least), self.least, (-1, 0, 1))
+        return lengths, F.array_distinct(F.array(F.col("low"), F.lit(0), F.col("high")))
+
+    def _asks(self) -> Column:
+        """The number of runs that a text is looked up with, repeated ones counted each time."""
+        lengths, steps = self._probes()
+        return F.aggregate(lengths, F.lit(0), lambda n, length: n + F.col("size") - length + 1) * F.size(steps)
+
+    def _lookup(self, rows: DataFrame, texts: DataFrame, span: tuple[int | None, int | None], words: int, hot: bool, asks: int) -> DataFrame:
+        """The repeats among ``rows``; ``span`` has the first and last bucket of their titles, ``asks`` is at least the number of their runs."""
         near = F.col("bucket") == LINKS
         if span[0] is not None:
             near = near | F.col("bucket").between(span[0] - 1, span[1] + 1)
         held = self._read(self.segments).filter(near)
-        # a text so alike is of the same class of sizes or a neighbouring one
-        lengths = _lengths(_class(F.col("size"), self.least), self.least, (-1, 0, 1))
-        steps = F.array_distinct(F.array(F.col("low"), F.lit(0), F.col("high")))
+        lengths, steps = self._probes()
         probes = texts.withColumn("length", F.explode(lengths)).withColumn("step", F.explode(steps))
         asked = probes.select(_suffixes(F.col("bucket") + F.col("step")), "text_id", "sign", "size")
         runs = held.filter(F.col("part") == "runs").select(*ASKED)
         least = self.least
         schema = "query_id bigint, text_id bigint, asked_size bigint, held_size bigint, runs bigint"
-        if asked.count() <= self.few:
+        if asks <= self.few:
             # the batch goes to the stored suffixes, which stay where they are
             known = self._send(in_order(asked.toArrow()))
 
@@ -358,17 +369,18 @@ class HistoryIndex:
         long = texts.withColumn("length", F.explode(_lengths(_class(F.col("size"), self.least), self.least)))
         runs = long.select(F.lit("runs").alias("part"), "bucket", "text_id", "sign", "size", _suffixes(F.col("bucket")))
         kept = texts.select(F.lit("texts").alias("part"), "bucket", "text_id", "page", "tokens")
-        name = f"{number:06d}-{number:06d}-0-{words}"
-        self._write(name, runs.unionByName(kept, True).unionByName(firsts, True))
-        self.segments.append(name)
-        while len(self.segments) > 1 and _span(self.segments[-1])[2] == _span(self.segments[-2])[2]:
-            pair = self.segments[-2:]
-            (begin, _, level, some), (_, end, _, more) = map(_span, pair)
-            merged = f"{begin:06d}-{end:06d}-{level + 1}-{some + more}"
-            self._write(merged, self._read(pair).coalesce(self._tasks(some + more)))
-            self.segments[-2:] = [merged]
-            for old in pair:
-                self._files.delete(self._at(f"{self.path}/{old}"), True)
+        new, begin, level, taken = runs.unionByName(kept, True).unionByName(firsts, True), number, 0, []
+        # the segments that merge, each of the level that those after it have reached, are written once with the batch
+        for old in reversed(self.segments):
+            if _span(old)[2] != level:
+                break
+            taken.append(old)
+            begin, level, words = _span(old)[0], level + 1, words + _span(old)[3]
+        name = f"{begin:06d}-{number:06d}-{level}-{words}"
+        self._write(name, new.unionByName(self._read(taken), True).coalesce(self._tasks(words)) if taken else new)
+        self.segments = [*self.segments[: len(self.segments) - len(taken)], name]
+        for old in taken:
+            self._files.delete(self._at(f"{self.path}/{old}"), True)
 
 
 def _arrow(schema: str) -> pa.Schema:

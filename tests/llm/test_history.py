@@ -169,3 +169,22 @@ def test_a_merge_that_was_cut_off_changes_nothing(spark, tmp_path):
     half.mkdir()  # no mark that it is whole
     got = HistoryIndex(spark, path).accept(spark.createDataFrame([r for r in rows if r[1] == 3], SCHEMA))
     assert sorted(map(tuple, got.collect())) == [r for r in brute(rows) if r[1] in {x[0] for x in rows if x[1] == 3}]
+
+
+def test_a_batch_without_texts(spark):
+    story = [(1, 1, None, "one title of a story", DAY, 0, "")]
+    rows = [*story, (2, 2, None, None, None, 0, ""), (3, 3, None, "one title of a story", DAY, 0, "")]
+    assert [tuple(r) for r in repeats_of_history(spark.createDataFrame(rows, SCHEMA)).collect()] == [(1, 3)]
+
+
+def test_segments_that_merge_are_written_once(spark, tmp_path, monkeypatch):
+    write, written = HistoryIndex._write, []
+    monkeypatch.setattr(HistoryIndex, "_write", lambda self, name, rows: (written.append(name), write(self, name, rows)))
+    rows, found = made_history(200, 8), []
+    index = HistoryIndex(spark, str(tmp_path / "index"))
+    for b in range(1, 9):
+        found += index.accept(spark.createDataFrame([r for r in rows if r[1] == b], SCHEMA)).collect()
+    spans = [tuple(map(int, n.split("-")[:3])) for n in written]
+    assert spans == [(1, 1, 0), (1, 2, 1), (3, 3, 0), (1, 4, 2), (5, 5, 0), (5, 6, 1), (7, 7, 0), (1, 8, 3)]
+    assert [p.name for p in (tmp_path / "index").iterdir()] == [written[-1]]
+    assert sorted(map(tuple, found)) == brute(rows)
